@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job expects; all can be changed on a live session.
 #   timeZone            calendar attributes and date keys are defined in UTC
@@ -45,18 +46,27 @@ def local_session(cores: int | str = "*", app: str = "storelake", **conf: str) -
     return apply_settings(spark)
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="storelake-")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder for tables written inside one job.
 
     Clusters name a folder all executors can reach in ``spark.checkpoint.dir``;
     only a local session may fall back to a folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="storelake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Cut the lineage: store ``df`` in the shared scratch folder and read it back."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
