@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from oracles.check_answers import CHECK_ANSWERS, CHECK_PARTS
 from oracles.compose import with_parts
+from oracles.load_answers import LOAD_ANSWERS, LOAD_PARTS, RESHAPE_ANSWERS, RULE_ANSWERS
 from oracles.model_parts import MODEL_PARTS
 from oracles.raw_parts import RAW_PARTS
 
@@ -209,7 +211,12 @@ GROUP BY promo_sk""",
 }
 
 
+PARTS |= LOAD_PARTS | CHECK_PARTS
+PARTS |= {f"q_{name}": body for name, body in QUESTIONS.items()}
+
+
 def oracle_sql() -> dict[str, str]:
     bodies = {model: shown(model) for model in MODEL_PARTS if model != "dim_loyalty_tier"}
-    bodies |= QUESTIONS
+    for group in (QUESTIONS, LOAD_ANSWERS, CHECK_ANSWERS, RESHAPE_ANSWERS, RULE_ANSWERS):
+        bodies |= group
     return {name: with_parts(PARTS, body) for name, body in bodies.items()}

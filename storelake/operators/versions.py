@@ -43,15 +43,8 @@ def latest_version(
 def current_rows(df: DataFrame, spec: TableSpec, declare_unique: bool = False) -> DataFrame:
     """Newest version of every ``(tenant, key)`` of a catalog table.
 
-    Equal versions: the row landed last wins, then the one greater in the remaining
-    integer and money columns, so that repeated runs agree.
-    """
-    tie_break = [LANDED_AT] if LANDED_AT in df.columns else []
-    tie_break += TIE_BREAK.get(spec.name, [])
-    return latest_version(df, spec.version_key, spec.version, tie_break, declare_unique)
-
-
-# Tables whose versions may share one time stamp, with the columns that settle it.
-TIE_BREAK = {
-    "transaction_items": ["product_id", "quantity", "unit_price", "discount", "subtotal"],
-}
+    Equal versions: the row landed last wins, then the table's own tie-break columns."""
+    landed = [LANDED_AT] if LANDED_AT in df.columns else []
+    return latest_version(
+        df, spec.version_key, spec.version, [*landed, *spec.tie_break], declare_unique
+    )

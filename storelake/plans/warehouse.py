@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 
@@ -59,6 +60,7 @@ class Warehouse:
         path: str,
         names: Iterable[str] | None = None,
         layers: Iterable[str] = TABLE_LAYERS,
+        side_by_side: int = 4,
     ) -> Warehouse:
         """Write models as parquet and read them back from there.
 
@@ -67,18 +69,26 @@ class Warehouse:
         into one task.
         """
         wanted = set(names) if names is not None else None
-        layers = set(layers)
-        for name, (layer, _) in MODELS.items():
-            if (layer in layers) if wanted is None else (name in wanted):
-                self._store(name, f"{path}/{name}")
+        for layer in LAYERS:
+            chosen = [
+                name
+                for name, (its_layer, _) in MODELS.items()
+                if its_layer == layer
+                and (layer in layers if wanted is None else name in wanted)
+            ]
+            # Composed before the writes start; tables of one layer are independent, and
+            # small ones leave most executors idle, so a few are written side by side.
+            frames = {name: self[name] for name in chosen}
+            with ThreadPoolExecutor(max_workers=side_by_side) as pool:
+                stored = pool.map(lambda name: _stored(frames[name], f"{path}/{name}"), chosen)
+                self._built.update(zip(chosen, stored, strict=True))
         return self
 
-    def _store(self, name: str, target: str) -> None:
-        df = self[name]
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if "tenant_id" in df.columns:
-            writer = writer.partitionBy("tenant_id")
-        writer.parquet(target)
-        spark = df.sparkSession
-        # Declared schema with tenant as text: partition values are never guessed.
-        self._built[name] = spark.read.schema(df.schema).parquet(target).select(*df.columns)
+
+def _stored(df: DataFrame, target: str) -> DataFrame:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if "tenant_id" in df.columns:
+        writer = writer.partitionBy("tenant_id")
+    writer.parquet(target)
+    # Declared schema with tenant as text: partition values are never guessed.
+    return df.sparkSession.read.schema(df.schema).parquet(target).select(*df.columns)

@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelake.plans import marts, staging  # noqa: F401  (fill MODELS)
+from storelake.plans.audits import AUDITS
 from storelake.plans.questions import QUESTIONS
+from storelake.plans.reshapes import RESHAPES
+from storelake.plans.rules import RULES
+from storelake.plans.star_loads import STAR_LOADS
 from storelake.plans.warehouse import MODELS, Warehouse
 from storelake.session import apply_settings
 from storelake.sources.retail_star import RetailStar
@@ -44,13 +48,18 @@ def _model(name: str) -> Query:
     return lambda spark, folder: shown(star_warehouse(spark, folder)[name])
 
 
-def _question(fn: Callable[[Warehouse], DataFrame]) -> Query:
+def _over_warehouse(fn: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, folder: shown(fn(star_warehouse(spark, folder)))
 
 
+def _over_star(fn: Callable[[RetailStar], DataFrame]) -> Query:
+    return lambda spark, folder: shown(fn(RetailStar(apply_settings(spark), folder)))
+
+
 def registered() -> dict[str, Query]:
-    found: dict[str, Query] = {
-        name: _model(name) for name in MODELS if name != "dim_loyalty_tier"
-    }
-    found |= {name: _question(fn) for name, fn in QUESTIONS.items()}
+    # The constant tier table is shown with its members (see AUDITS), never alone.
+    found: dict[str, Query] = {name: _over_star(fn) for name, fn in STAR_LOADS.items()}
+    found |= {name: _model(name) for name in MODELS if name != "dim_loyalty_tier"}
+    for group in (QUESTIONS, AUDITS, RESHAPES, RULES):
+        found |= {name: _over_warehouse(fn) for name, fn in group.items()}
     return found

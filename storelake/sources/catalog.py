@@ -16,6 +16,7 @@ LANDED_AT = "_extracted_at"
 _TYPES = {
     "long": T.LongType(),
     "string": T.StringType(),
+    "double": T.DoubleType(),
     "money": T.DecimalType(18, 2),
     "bool": T.BooleanType(),
     "date": T.DateType(),
@@ -29,6 +30,8 @@ class TableSpec:
     key: str
     columns: tuple[tuple[str, str, bool], ...]  # (column, type word, nullable)
     version: str = "updated_at"
+    # Settles rows of one key that share version and load time.
+    tie_break: tuple[str, ...] = ()
 
     @property
     def column_names(self) -> list[str]:
@@ -53,14 +56,15 @@ class TableSpec:
         return [TENANT, self.key]
 
 
-def _table(name: str, key: str, layout: str) -> TableSpec:
-    """``layout``: one ``column type`` pair per entry, ``?`` marks a nullable column."""
-    columns = []
-    for entry in layout.split(","):
-        column, kind = entry.split()
-        columns.append((column, kind.rstrip("?"), kind.endswith("?")))
-    columns += [("created_at", "timestamp", False), ("updated_at", "timestamp", False)]
-    return TableSpec(name, key, tuple(columns))
+def columns_of(layout: str) -> tuple[tuple[str, str, bool], ...]:
+    """One ``column type`` pair per entry; ``?`` marks a nullable column."""
+    pairs = [entry.split() for entry in layout.split(",")]
+    return tuple((column, kind.rstrip("?"), kind.endswith("?")) for column, kind in pairs)
+
+
+def _table(name: str, key: str, layout: str, tie_break: tuple[str, ...] = ()) -> TableSpec:
+    stamps = "created_at timestamp, updated_at timestamp"
+    return TableSpec(name, key, columns_of(f"{layout}, {stamps}"), tie_break=tie_break)
 
 
 _SPECS = [
@@ -104,6 +108,7 @@ _SPECS = [
         "item_id",
         "item_id long, transaction_id long, product_id long?, quantity long, unit_price money,"
         " discount money, subtotal money",
+        ("product_id", "quantity", "unit_price", "discount", "subtotal"),
     ),
     _table(
         "transaction_promotions",
