@@ -30,7 +30,7 @@ def int_primary_cost(wh: Warehouse) -> DataFrame:
     return (
         wh["stg_product_supplier"]
         .filter("is_primary and product_id is not null")
-        .groupBy("tenant_id", "product_id")
+        .groupBy("product_id", "tenant_id")
         .agg(newest.alias("pick"), F.first("product_sk").alias("product_sk"))
         .select(
             "product_sk",
@@ -62,11 +62,11 @@ def int_sales_enriched(wh: Warehouse) -> DataFrame:
     )
     unit_cost = F.coalesce("known_cost", _zero())
     rows = (
-        items.join(headers, ["tenant_id", "transaction_id"])
-        .join(products, ["tenant_id", "product_id"], "left")
-        .join(costs, ["tenant_id", "product_id"], "left")
-        .join(stores, ["tenant_id", "store_id"], "left")
-        .join(clerks, ["tenant_id", "employee_id"], "left")
+        items.join(headers, ["transaction_id", "tenant_id"])
+        .join(products, ["product_id", "tenant_id"], "left")
+        .join(costs, ["product_id", "tenant_id"], "left")
+        .join(stores, ["store_id", "tenant_id"], "left")
+        .join(clerks, ["employee_id", "tenant_id"], "left")
         .select(
             F.col("item_sk").alias("sales_sk"),
             "tenant_id",
@@ -257,15 +257,15 @@ def fact_sales(wh: Warehouse) -> DataFrame:
     items, headers = _sold_lines(wh)
     promos = (
         wh["stg_transaction_promotions"]
-        .groupBy("tenant_id", "transaction_id")
+        .groupBy("transaction_id", "tenant_id")
         .agg(
             F.sum("discount_applied").alias("promo_discount_total"),
             F.count(F.lit(1)).alias("promo_count"),
         )
     )
     rows = (
-        items.join(headers, ["tenant_id", "transaction_id"])
-        .join(promos, ["tenant_id", "transaction_id"], "left")
+        items.join(headers, ["transaction_id", "tenant_id"])
+        .join(promos, ["transaction_id", "tenant_id"], "left")
         .select(
             F.col("item_sk").alias("sales_sk"),
             "tenant_id",
@@ -304,7 +304,7 @@ def fact_promotion_usage(wh: Warehouse) -> DataFrame:
         "transaction_date",
         F.col("total_amount").alias("transaction_amount"),
     )
-    rows = uses.join(headers, ["tenant_id", "transaction_id"]).select(
+    rows = uses.join(headers, ["transaction_id", "tenant_id"]).select(
         "txn_promo_sk",
         "tenant_id",
         "transaction_sk",
@@ -328,7 +328,7 @@ def fact_inventory_movement(wh: Warehouse) -> DataFrame:
     """
     sold = (
         wh["int_sales_enriched"]
-        .groupBy("tenant_id", "store_sk", "product_sk")
+        .groupBy("product_sk", "store_sk", "tenant_id")
         .agg(F.sum("quantity").alias("units"))
     )
     units = F.coalesce("units", F.lit(0).cast("long"))
@@ -336,7 +336,7 @@ def fact_inventory_movement(wh: Warehouse) -> DataFrame:
     turnover = half_up(as_double(units) / as_double(stock), 4)
     rows = (
         wh["stg_inventory"]
-        .join(sold, ["tenant_id", "store_sk", "product_sk"], "left")
+        .join(sold, ["product_sk", "store_sk", "tenant_id"], "left")
         .select(
             "inventory_sk",
             "tenant_id",

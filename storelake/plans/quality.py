@@ -227,7 +227,7 @@ def reconcile_landing(
 def revenue_reconcile(wh: Warehouse) -> DataFrame:
     """Revenue of the sales fact against the staged lines of completed transactions."""
     headers = wh["stg_transactions"].select("tenant_id", "transaction_id")
-    staged = wh["stg_transaction_items"].join(headers, ["tenant_id", "transaction_id"], "left_semi")
+    staged = wh["stg_transaction_items"].join(headers, ["transaction_id", "tenant_id"], "left_semi")
     return amount_reconcile(wh["fact_sales"], "net_amount", staged, "subtotal").withColumnsRenamed(
         {"left_total": "fact_revenue", "right_total": "staged_revenue"}
     )

@@ -154,7 +154,7 @@ def promo_avg_comparison(wh: Warehouse, tenant: str | None = None) -> DataFrame:
     """Mean value and number of transactions with and without a promotion."""
     baskets = (
         _scoped(wh["fact_sales"], tenant)
-        .groupBy("tenant_id", "transaction_id")
+        .groupBy("transaction_id", "tenant_id")
         .agg(
             F.max("is_promo_transaction").alias("promo"),
             F.sum("net_amount").alias("amount"),
@@ -240,7 +240,7 @@ def transactions_by_day(wh: Warehouse, tenant: str | None = None) -> DataFrame:
     counts of single dates add up."""
     daily = (
         _scoped(wh["fact_sales"], tenant)
-        .groupBy("date_key", "tenant_id", "transaction_id")
+        .groupBy("transaction_id", "tenant_id", "date_key")
         .agg(F.sum("net_amount").alias("net"))
         .groupBy("date_key")
         .agg(F.count(F.lit(1)).alias("transactions"), F.sum("net").alias("net"))
@@ -284,7 +284,7 @@ def customer_ltv(wh: Warehouse, tenant: str | None = None, k: int = 20) -> DataF
     """The ``k`` customers with the highest lifetime spend and their current tier."""
     spend = (
         _scoped(wh["fact_sales"], tenant)
-        .groupBy("customer_sk", "tenant_id", "transaction_id")
+        .groupBy("transaction_id", "tenant_id", "customer_sk")
         .agg(F.sum("net_amount").alias("net"))
         .groupBy("customer_sk")
         .agg(F.sum("net").alias("net"), F.count(F.lit(1)).alias("transactions"))
@@ -338,7 +338,7 @@ def employee_performance(wh: Warehouse, tenant: str | None = None, k: int = 15)
     totals = (
         _scoped(wh["int_sales_enriched"], tenant)
         .filter(F.col("employee_name") != "")
-        .groupBy(*group, "tenant_id", "transaction_id")
+        .groupBy("transaction_id", "tenant_id", *group)
         .agg(F.sum("net_amount").alias("net"), F.sum("margin_amount").alias("margin"))
         .groupBy(*group)
         .agg(
@@ -380,7 +380,7 @@ def promotion_roi(wh: Warehouse, tenant: str | None = None) -> DataFrame:
     plain = (
         _scoped(wh["fact_sales"], tenant)
         .filter(F.col("is_promo_transaction") == 0)
-        .groupBy("tenant_id", "transaction_id")
+        .groupBy("transaction_id", "tenant_id")
         .agg(F.sum("net_amount").alias("amount"))
         .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n"))
         .select(ratio(F.col("amount"), F.col("n")))

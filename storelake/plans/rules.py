@@ -27,7 +27,7 @@ def line_subtotal(wh: Warehouse) -> DataFrame:
 
 def header_total_rollup(wh: Warehouse) -> DataFrame:
     """Total of each transaction, whatever its status, from its lines (0 without lines)."""
-    key = ["tenant_id", "transaction_id"]
+    key = ["transaction_id", "tenant_id"]
     sums = wh["stg_transaction_items"].groupBy(*key).agg(F.sum("subtotal").alias("total"))
     headers = current_rows(wh.raw["transactions"], spec_of("transactions")).select(*key, "status")
     total = F.coalesce("total", F.lit("0").cast("decimal(28,2)"))

@@ -53,7 +53,8 @@ class TableSpec:
 
     @property
     def version_key(self) -> list[str]:
-        return [TENANT, self.key]
+        # The selective column leads: sorts then compare 64-bit prefixes, not tenant names.
+        return [self.key, TENANT]
 
 
 def columns_of(layout: str) -> tuple[tuple[str, str, bool], ...]:

@@ -107,7 +107,7 @@ def _small(value: Column) -> Column:
 
 
 def _block(key: str, size: int) -> Column:
-    return F.floor(F.col(key) / size).cast("long")
+    return F.expr(f"{key} div {size}")
 
 
 def _day(start: str, key: str, spread: int) -> Column:
