@@ -1,9 +1,8 @@
 """Intermediate tables, conformed dimensions and facts.
 
-Row-level joins use the natural ``(tenant_id, id)`` pair rather than the text
-surrogate key: the newest-version step already hash-partitions a table on that pair,
-so its side of the join is not shuffled again.  Surrogate keys are carried as output.
-No side is broadcast by hint; Spark chooses that from the measured size.
+Lines are the largest table, so a model moves them once: everything known per
+transaction is gathered on the header first, everything known per product in one lookup.
+No side is broadcast by hint; Spark decides that from the measured size.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelake.functions import as_double, date_key, half_up, iso_weekday, with_audit, year_month
+from storelake.operators.joins import attach
 from storelake.plans.warehouse import Warehouse, model
 
 _ZERO = "0.00"
@@ -42,56 +42,77 @@ def int_primary_cost(wh: Warehouse) -> DataFrame:
     )
 
 
-def _sold_lines(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
-    items = wh["stg_transaction_items"].drop("created_at", "updated_at")
-    headers = wh["stg_transactions"].drop("transaction_sk", "created_at", "updated_at")
-    return items, headers
+def _lines(wh: Warehouse) -> DataFrame:
+    return wh["stg_transaction_items"].drop("created_at", "updated_at")
+
+
+def _headers(wh: Warehouse) -> DataFrame:
+    return wh["stg_transactions"].drop("created_at", "updated_at")
+
+
+def _product_lookup(wh: Warehouse) -> DataFrame:
+    """Name, category, primary supplier and cost per product, known to either source.
+
+    Union and grouping instead of a full join: one shuffle, and the key is visibly unique.
+    """
+    named = wh["stg_products"].select(
+        "product_id", "tenant_id", "product_sk", "product_name", "category"
+    )
+    costed = wh["int_primary_cost"].select(
+        "product_id",
+        "tenant_id",
+        "product_sk",
+        "primary_supplier_sk",
+        F.col("cost_price").alias("known_cost"),
+    )
+    facts = ["product_name", "category", "primary_supplier_sk", "known_cost"]
+    return (
+        named.unionByName(costed, allowMissingColumns=True)
+        .groupBy("product_id", "tenant_id")
+        .agg(*[F.max(c).alias(c) for c in ("product_sk", *facts)])
+    )
 
 
 @model("intermediate")
 def int_sales_enriched(wh: Warehouse) -> DataFrame:
     """One row per line of a completed transaction with product, store, clerk and cost."""
-    items, headers = _sold_lines(wh)
-    products = wh["stg_products"].select("tenant_id", "product_id", "product_name", "category")
-    stores = wh["stg_stores"].select("tenant_id", "store_id", F.col("city").alias("store_city"))
-    clerks = wh["stg_employees"].select(
-        "tenant_id", "employee_id", "employee_name", F.col("role").alias("employee_role")
+    stores = wh["stg_stores"].select(
+        "store_id", "tenant_id", "store_sk", F.col("city").alias("store_city")
     )
-    costs = wh["int_primary_cost"].select(
-        "tenant_id", "product_id", "primary_supplier_sk", F.col("cost_price").alias("known_cost")
+    clerks = wh["stg_employees"].select(
+        "employee_id",
+        "tenant_id",
+        "employee_sk",
+        "employee_name",
+        F.col("role").alias("employee_role"),
     )
+    headers = attach(attach(_headers(wh), stores, "store"), clerks, "employee")
+    sold = attach(_lines(wh), headers, "transaction", "inner")
     unit_cost = F.coalesce("known_cost", _zero())
-    rows = (
-        items.join(headers, ["transaction_id", "tenant_id"])
-        .join(products, ["product_id", "tenant_id"], "left")
-        .join(costs, ["product_id", "tenant_id"], "left")
-        .join(stores, ["store_id", "tenant_id"], "left")
-        .join(clerks, ["employee_id", "tenant_id"], "left")
-        .select(
-            F.col("item_sk").alias("sales_sk"),
-            "tenant_id",
-            "transaction_sk",
-            "transaction_id",
-            "date_key",
-            "transaction_date",
-            "customer_sk",
-            "store_sk",
-            "store_city",
-            "employee_sk",
-            "employee_name",
-            "employee_role",
-            "product_sk",
-            "product_name",
-            "category",
-            "primary_supplier_sk",
-            "quantity",
-            "unit_price",
-            F.col("subtotal").alias("net_amount"),
-            (F.col("quantity") * F.col("unit_price")).alias("gross_amount"),
-            unit_cost.alias("cost_price"),
-            (F.col("quantity") * unit_cost).alias("cost_amount"),
-            (F.col("subtotal") - F.col("quantity") * unit_cost).alias("margin_amount"),
-        )
+    rows = attach(sold, _product_lookup(wh), "product").select(
+        F.col("item_sk").alias("sales_sk"),
+        "tenant_id",
+        "transaction_sk",
+        "transaction_id",
+        "date_key",
+        "transaction_date",
+        "customer_sk",
+        "store_sk",
+        "store_city",
+        "employee_sk",
+        "employee_name",
+        "employee_role",
+        "product_sk",
+        "product_name",
+        "category",
+        "primary_supplier_sk",
+        "quantity",
+        "unit_price",
+        F.col("subtotal").alias("net_amount"),
+        (F.col("quantity") * F.col("unit_price")).alias("gross_amount"),
+        unit_cost.alias("cost_price"),
+        (F.col("quantity") * unit_cost).alias("cost_amount"),
+        (F.col("subtotal") - F.col("quantity") * unit_cost).alias("margin_amount"),
     )
     return with_audit(rows, wh.loaded_at)
 
@@ -254,7 +275,6 @@ def fact_sales(wh: Warehouse) -> DataFrame:
 
     ``txn_promo_discount`` belongs to the whole transaction and repeats on its lines:
     never sum it over lines."""
-    items, headers = _sold_lines(wh)
     promos = (
         wh["stg_transaction_promotions"]
         .groupBy("transaction_id", "tenant_id")
@@ -263,30 +283,28 @@ def fact_sales(wh: Warehouse) -> DataFrame:
             F.count(F.lit(1)).alias("promo_count"),
         )
     )
-    rows = (
-        items.join(headers, ["transaction_id", "tenant_id"])
-        .join(promos, ["transaction_id", "tenant_id"], "left")
-        .select(
-            F.col("item_sk").alias("sales_sk"),
-            "tenant_id",
-            "transaction_sk",
-            "transaction_id",
-            "date_key",
-            "transaction_date",
-            "customer_sk",
-            "store_sk",
-            "employee_sk",
-            "product_sk",
-            "product_id",
-            "quantity",
-            "unit_price",
-            F.col("discount").alias("line_discount_pct"),
-            (F.col("quantity") * F.col("unit_price")).alias("gross_amount"),
-            F.col("subtotal").alias("net_amount"),
-            "payment_method",
-            F.coalesce("promo_discount_total", _zero()).alias("txn_promo_discount"),
-            F.when(F.col("promo_count") > 0, 1).otherwise(0).alias("is_promo_transaction"),
-        )
+    # Both sides have one row per transaction and the same partitioning: no exchange here.
+    headers = _headers(wh).join(promos, ["transaction_id", "tenant_id"], "left")
+    rows = attach(_lines(wh), headers, "transaction", "inner").select(
+        F.col("item_sk").alias("sales_sk"),
+        "tenant_id",
+        "transaction_sk",
+        "transaction_id",
+        "date_key",
+        "transaction_date",
+        "customer_sk",
+        "store_sk",
+        "employee_sk",
+        "product_sk",
+        "product_id",
+        "quantity",
+        "unit_price",
+        F.col("discount").alias("line_discount_pct"),
+        (F.col("quantity") * F.col("unit_price")).alias("gross_amount"),
+        F.col("subtotal").alias("net_amount"),
+        "payment_method",
+        F.coalesce("promo_discount_total", _zero()).alias("txn_promo_discount"),
+        F.when(F.col("promo_count") > 0, 1).otherwise(0).alias("is_promo_transaction"),
     )
     return with_audit(rows, wh.loaded_at)
 
@@ -296,15 +314,16 @@ def fact_promotion_usage(wh: Warehouse) -> DataFrame:
     """One row per promotion used on a completed transaction."""
     uses = wh["stg_transaction_promotions"]
     headers = wh["stg_transactions"].select(
-        "tenant_id",
         "transaction_id",
+        "tenant_id",
+        "transaction_sk",
         "store_sk",
         "customer_sk",
         "date_key",
         "transaction_date",
         F.col("total_amount").alias("transaction_amount"),
     )
-    rows = uses.join(headers, ["transaction_id", "tenant_id"]).select(
+    rows = attach(uses, headers, "transaction", "inner").select(
         "txn_promo_sk",
         "tenant_id",
         "transaction_sk",
@@ -325,11 +344,12 @@ def fact_inventory_movement(wh: Warehouse) -> DataFrame:
     """Stock position per store and product, with the units that left it.
 
     Sales collapse to one row per store and product before they meet the stock table.
+    They are grouped by fewer keys than the join has, for the reason ``attach`` gives.
     """
     sold = (
         wh["int_sales_enriched"]
-        .groupBy("product_sk", "store_sk", "tenant_id")
-        .agg(F.sum("quantity").alias("units"))
+        .groupBy("product_sk", "store_sk")
+        .agg(F.sum("quantity").alias("units"), F.max("tenant_id").alias("tenant_id"))
     )
     units = F.coalesce("units", F.lit(0).cast("long"))
     stock = F.col("stock_qty")

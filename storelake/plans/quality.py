@@ -226,8 +226,11 @@ def reconcile_landing(
 
 def revenue_reconcile(wh: Warehouse) -> DataFrame:
     """Revenue of the sales fact against the staged lines of completed transactions."""
-    headers = wh["stg_transactions"].select("tenant_id", "transaction_id")
-    staged = wh["stg_transaction_items"].join(headers, ["transaction_id", "tenant_id"], "left_semi")
+    key = ["transaction_id", "tenant_id"]
+    # One row per transaction before the join: a transaction with very many lines is
+    # summed map-side.
+    baskets = wh["stg_transaction_items"].groupBy(*key).agg(F.sum("subtotal").alias("subtotal"))
+    staged = baskets.join(wh["stg_transactions"].select(*key), key, "left_semi")
     return amount_reconcile(wh["fact_sales"], "net_amount", staged, "subtotal").withColumnsRenamed(
         {"left_total": "fact_revenue", "right_total": "staged_revenue"}
     )
