@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,38 +89,30 @@ def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(star_schema(name)).parquet(f"{folder}/{name}.parquet")
 
 
-def _tenant_of(key: str) -> Column:
-    return F.concat(F.lit("tenant_0"), (F.col(key) % 3 + 1).cast("string"))
+_EVERY_TENANT = "explode(array({})) AS tenant_id".format(", ".join(f"'{t}'" for t in TENANTS))
 
 
-def _every_tenant(df: DataFrame) -> DataFrame:
-    return df.withColumn("tenant_id", F.explode(F.array(*[F.lit(t) for t in TENANTS])))
+def _tenant_of(key: str) -> str:
+    return f"concat('tenant_0', CAST({key} % 3 + 1 AS STRING)) AS tenant_id"
 
 
-def _money(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast("decimal(18,2)")
+def _day(start: str, key: str, spread: int) -> str:
+    return f"date_add(DATE'{start}', CAST({key} % {spread} AS INT))"
 
 
-def _small(value: Column) -> Column:
-    """A small integer as a narrow decimal, so that products stay exact."""
-    return value.cast("decimal(5,0)")
+def _at(start: str, key: str, spread: int) -> str:
+    return f"CAST({_day(start, key, spread)} AS TIMESTAMP)"
 
 
-def _block(key: str, size: int) -> Column:
-    return F.expr(f"{key} div {size}")
+def _stamps(key: str, start: str = "1993-01-01", spread: int = 700) -> list[str]:
+    at = _at(start, key, spread)
+    return [f"{at} AS created_at", f"{at} AS updated_at"]
 
 
-def _day(start: str, key: str, spread: int) -> Column:
-    return F.date_add(F.lit(start).cast("date"), (F.col(key) % spread).cast("int"))
-
-
-def _at(start: str, key: str, spread: int) -> Column:
-    return _day(start, key, spread).cast("timestamp")
-
-
-def _percent(value: Column) -> Column:
-    """``value`` * 0.01 without leaving decimal arithmetic."""
-    return value * F.lit("0.01").cast("decimal(3,2)")
+def _percent_of(money: str, percent: str) -> str:
+    """``percent`` (a small integer) of an amount, without leaving decimal arithmetic."""
+    exact = f"CAST({money} AS DECIMAL(18,2)) * CAST({percent} AS DECIMAL(5,0))"
+    return f"CAST(round({exact} * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2))"
 
 
 class RetailStar(Mapping[str, DataFrame]):
@@ -134,9 +126,8 @@ class RetailStar(Mapping[str, DataFrame]):
         return star_table(self.spark, self.folder, name)
 
     def __getitem__(self, name: str) -> DataFrame:
-        spec = spec_of(name)
-        df: DataFrame = getattr(self, f"_{name}")()
-        return df.select("tenant_id", *spec.column_names)
+        spec_of(name)
+        return getattr(self, f"_{name}")()
 
     def __iter__(self) -> Iterator[str]:
         return iter(CATALOG)
@@ -147,98 +138,73 @@ class RetailStar(Mapping[str, DataFrame]):
     # -- reference data -------------------------------------------------
 
     def _customers(self) -> DataFrame:
-        # One customer in five was renamed: an older version precedes the current one.
-        people = (
-            self.star("customer")
-            .join(self.star("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .withColumn(
-                "version",
-                F.explode(
-                    F.when(F.col("c_mktsegment") == "BUILDING", F.array(F.lit(0), F.lit(1)))
-                    .otherwise(F.array(F.lit(1)))
-                ),
-            )
+        # BUILDING customers were renamed: an older version precedes the current one.
+        joined = self.star("customer").join(
+            self.star("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         )
-        return _every_tenant(people).select(
+        versions = "explode(if(c_mktsegment = 'BUILDING', array(0, 1), array(1))) AS version"
+        first = _day("1993-01-01", "c_custkey", 700)
+        return joined.selectExpr("*", _EVERY_TENANT).selectExpr("*", versions).selectExpr(
             "tenant_id",
-            (F.col("c_custkey") + 1).alias("customer_id"),
-            F.when(F.col("version") == 0, F.concat(F.lit("old "), "c_name"))
-            .otherwise(F.concat(F.lit("  "), "c_name", F.lit(" ")))
-            .alias("name"),
-            F.concat(F.lit("08"), F.lpad(F.col("c_custkey").cast("string"), 10, "0")).alias("phone"),
-            F.upper(F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@mail.test")))
-            .alias("email"),
-            F.when(F.col("c_custkey") % 53 == 0, "Other")
-            .when(F.col("c_custkey") % 2 == 0, "Female")
-            .otherwise("Male")
-            .alias("gender"),
-            F.col("n_name").alias("city"),
-            _at("1993-01-01", "c_custkey", 700).alias("created_at"),
-            F.date_add(_day("1993-01-01", "c_custkey", 700), F.col("version") * 30)
-            .cast("timestamp")
-            .alias("updated_at"),
+            "c_custkey + 1 AS customer_id",
+            "if(version = 0, concat('old ', c_name), concat('  ', c_name, ' ')) AS name",
+            "concat('08', lpad(CAST(c_custkey AS STRING), 10, '0')) AS phone",
+            "upper(concat('c', CAST(c_custkey AS STRING), '@mail.test')) AS email",
+            "CASE WHEN c_custkey % 53 = 0 THEN 'Other' WHEN c_custkey % 2 = 0 THEN 'Female'"
+            " ELSE 'Male' END AS gender",
+            "n_name AS city",
+            f"CAST({first} AS TIMESTAMP) AS created_at",
+            f"CAST(date_add({first}, version * 30) AS TIMESTAMP) AS updated_at",
         )
 
     def _products(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return _every_tenant(self.star("part")).select(
-            "tenant_id",
-            (key + 1).alias("product_id"),
-            F.concat(F.lit(" "), "p_name", F.lit("  ")).alias("product_name"),
-            F.when(key % 37 == 0, None).when(key % 41 == 0, "").otherwise(F.col("p_type"))
-            .alias("category"),
-            F.col("p_brand").alias("brand"),
-            _money("p_retailprice").alias("unit_price"),
-            (key % 19 != 0).alias("is_active"),
-            _at("1993-01-01", "p_partkey", 700).alias("created_at"),
-            _at("1993-01-01", "p_partkey", 700).alias("updated_at"),
+        return self.star("part").selectExpr(
+            _EVERY_TENANT,
+            "p_partkey + 1 AS product_id",
+            "concat(' ', p_name, '  ') AS product_name",
+            "CASE WHEN p_partkey % 37 = 0 THEN NULL WHEN p_partkey % 41 = 0 THEN ''"
+            " ELSE p_type END AS category",
+            "p_brand AS brand",
+            "CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price",
+            "p_partkey % 19 <> 0 AS is_active",
+            *_stamps("p_partkey"),
         )
 
     def _stores(self) -> DataFrame:
         blocks = (
             self.star("customer")
-            .groupBy(_block("c_custkey", 50).alias("block"))
+            .groupBy(F.expr("c_custkey div 50 AS block"))
             .agg(F.min_by("c_nationkey", "c_custkey").alias("home_nation"))
             .join(self.star("nation"), F.col("home_nation") == F.col("n_nationkey"))
             .join(self.star("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         )
-        block = F.col("block")
-        return _every_tenant(blocks).select(
-            "tenant_id",
-            (block + 1).alias("store_id"),
-            F.concat(F.lit(" Store "), (block + 1).cast("string"), F.lit(" ")).alias("store_name"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("province"),
-            F.when(block % 11 == 10, "kiosk")
-            .when(block % 3 == 0, "minimarket")
-            .when(block % 3 == 1, "supermarket")
-            .otherwise("express")
-            .alias("store_type"),
-            _day("1990-01-01", "block", 900).alias("opened_at"),
-            F.lit(True).alias("is_active"),
-            _at("1993-01-01", "block", 700).alias("created_at"),
-            _at("1993-01-01", "block", 700).alias("updated_at"),
+        return blocks.selectExpr(
+            _EVERY_TENANT,
+            "block + 1 AS store_id",
+            "concat(' Store ', CAST(block + 1 AS STRING), ' ') AS store_name",
+            "n_name AS city",
+            "r_name AS province",
+            "CASE WHEN block % 11 = 10 THEN 'kiosk' WHEN block % 3 = 0 THEN 'minimarket'"
+            " WHEN block % 3 = 1 THEN 'supermarket' ELSE 'express' END AS store_type",
+            f"{_day('1990-01-01', 'block', 900)} AS opened_at",
+            "true AS is_active",
+            *_stamps("block"),
         )
 
     def _employees(self) -> DataFrame:
-        crew = self.star("customer").groupBy(_block("c_custkey", 10).alias("block")).agg(
+        crew = self.star("customer").groupBy(F.expr("c_custkey div 10 AS block")).agg(
             F.min("c_custkey").alias("first_customer")
         )
-        block = F.col("block")
-        return _every_tenant(crew).select(
-            "tenant_id",
-            (block + 1).alias("employee_id"),
-            (_block("first_customer", 50) + 1).alias("store_id"),
-            F.concat(F.lit(" Clerk "), (block % 40).cast("string"), F.lit(" ")).alias("name"),
-            F.when(block % 23 == 22, "Trainee")
-            .when(block % 5 == 0, "Manager")
-            .when(block % 5 == 1, "SUPERVISOR")
-            .otherwise("Cashier")
-            .alias("role"),
-            _day("1991-01-01", "block", 800).alias("hire_date"),
-            (block % 17 != 0).alias("is_active"),
-            _at("1993-01-01", "block", 700).alias("created_at"),
-            _at("1993-01-01", "block", 700).alias("updated_at"),
+        return crew.selectExpr(
+            _EVERY_TENANT,
+            "block + 1 AS employee_id",
+            "first_customer div 50 + 1 AS store_id",
+            "concat(' Clerk ', CAST(block % 40 AS STRING), ' ') AS name",
+            "CASE WHEN block % 23 = 22 THEN 'Trainee' WHEN block % 5 = 0 THEN 'Manager'"
+            " WHEN block % 5 = 1 THEN 'SUPERVISOR' ELSE 'Cashier' END AS role",
+            f"{_day('1991-01-01', 'block', 800)} AS hire_date",
+            "block % 17 <> 0 AS is_active",
+            *_stamps("block"),
         )
 
     def _suppliers(self) -> DataFrame:
@@ -247,191 +213,150 @@ class RetailStar(Mapping[str, DataFrame]):
             .join(self.star("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(self.star("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         )
-        return _every_tenant(makers).select(
-            "tenant_id",
-            (F.col("s_suppkey") + 1).alias("supplier_id"),
-            F.col("s_name").alias("supplier_name"),
-            F.concat(F.lit("Contact "), F.col("s_suppkey").cast("string")).alias("contact_name"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("country"),
-            _at("1993-01-01", "s_suppkey", 700).alias("created_at"),
-            _at("1993-01-01", "s_suppkey", 700).alias("updated_at"),
+        return makers.selectExpr(
+            _EVERY_TENANT,
+            "s_suppkey + 1 AS supplier_id",
+            "s_name AS supplier_name",
+            "concat('Contact ', CAST(s_suppkey AS STRING)) AS contact_name",
+            "n_name AS city",
+            "r_name AS country",
+            *_stamps("s_suppkey"),
         )
 
     def _promotions(self) -> DataFrame:
-        campaigns = self.star("customer").groupBy(_block("c_custkey", 15).alias("block")).agg(
+        campaigns = self.star("customer").groupBy(F.expr("c_custkey div 15 AS block")).agg(
             F.count(F.lit(1)).alias("members")
         )
-        block = F.col("block")
-        return _every_tenant(campaigns).select(
-            "tenant_id",
-            (block + 1).alias("promo_id"),
-            F.concat(F.lit("Campaign "), (block + 1).cast("string")).alias("promo_name"),
-            F.when(block % 3 == 0, "discount")
-            .when(block % 3 == 1, "bundle")
-            .otherwise("cashback")
-            .alias("promo_type"),
-            (3 + block % 13).cast("decimal(18,2)").alias("discount_pct"),
-            _day("1995-01-01", "block", 900).alias("start_date"),
-            F.date_add(_day("1995-01-01", "block", 900), 90).alias("end_date"),
-            (F.col("members") * 1000).cast("decimal(18,2)").alias("min_purchase"),
-            _at("1993-01-01", "block", 700).alias("created_at"),
-            _at("1993-01-01", "block", 700).alias("updated_at"),
+        start = _day("1995-01-01", "block", 900)
+        return campaigns.selectExpr(
+            _EVERY_TENANT,
+            "block + 1 AS promo_id",
+            "concat('Campaign ', CAST(block + 1 AS STRING)) AS promo_name",
+            "CASE block % 3 WHEN 0 THEN 'discount' WHEN 1 THEN 'bundle' ELSE 'cashback' END"
+            " AS promo_type",
+            "CAST(3 + block % 13 AS DECIMAL(18,2)) AS discount_pct",
+            f"{start} AS start_date",
+            f"date_add({start}, 90) AS end_date",
+            "CAST(members * 1000 AS DECIMAL(18,2)) AS min_purchase",
+            *_stamps("block"),
         )
 
     def _product_supplier(self) -> DataFrame:
         # 0 to 3 suppliers per product, the first of them primary.
-        maker = _block("p_partkey", 20)
-        links = F.least(F.col("p_size") % 4, maker + 1).cast("int")
-        bridge = (
-            _every_tenant(self.star("part").withColumn("maker", maker).withColumn("links", links))
-            .filter("links > 0")
-            .withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("links") - 1)))
-        )
-        supplier = F.col("maker") - F.col("slot")
-        return bridge.select(
-            "tenant_id",
-            (F.col("p_partkey") * 4 + F.col("slot") + 1).alias("id"),
-            (F.col("p_partkey") + 1).alias("product_id"),
-            (supplier + 1).alias("supplier_id"),
-            F.round(_percent(_money("p_retailprice") * _small(55 + supplier % 26)), 2)
-            .cast("decimal(18,2)")
-            .alias("cost_price"),
-            (2 + F.col("slot") * 3).cast("long").alias("lead_time_days"),
-            (F.col("slot") == 0).alias("is_primary"),
-            _at("1993-01-01", "p_partkey", 700).alias("created_at"),
-            _at("1993-01-01", "p_partkey", 700).alias("updated_at"),
+        links = "least(p_size % 4, p_partkey div 20 + 1)"
+        slots = f"explode(if({links} > 0, sequence(0, CAST({links} - 1 AS INT)), array())) AS slot"
+        supplier = "p_partkey div 20 - slot"
+        bridge = self.star("part").selectExpr("*", slots)
+        return bridge.selectExpr(
+            _EVERY_TENANT,
+            "p_partkey * 4 + slot + 1 AS id",
+            "p_partkey + 1 AS product_id",
+            f"{supplier} + 1 AS supplier_id",
+            f"{_percent_of('p_retailprice', f'(55 + ({supplier}) % 26)')} AS cost_price",
+            "CAST(2 + slot * 3 AS BIGINT) AS lead_time_days",
+            "slot = 0 AS is_primary",
+            *_stamps("p_partkey"),
         )
 
     def _inventory(self) -> DataFrame:
         # A product is stocked in its home store, the one before it and store 1.
-        home = _block("p_partkey", 67) + 1
-        places = F.array_distinct(F.array(home, F.greatest(home - 1, F.lit(1)), F.lit(1).cast("long")))
-        stock = self.star("part").select("*", F.posexplode(places).alias("slot", "store"))
-        key = F.col("p_partkey")
-        return _every_tenant(stock).select(
-            "tenant_id",
-            (key * 3 + F.col("slot") + 1).alias("inventory_id"),
-            (key + 1).alias("product_id"),
-            F.col("store").alias("store_id"),
-            (_block("p_partkey", 20) + 1).alias("supplier_id"),
-            ((key * 7 + F.col("slot") * 13) % 60).alias("stock_qty"),
-            (5 + key % 16).alias("reorder_level"),
-            F.when(key % 17 != 0, _at("2001-01-01", "p_partkey", 200)).alias("last_restocked"),
-            _at("1993-01-01", "p_partkey", 700).alias("created_at"),
-            _at("1993-01-01", "p_partkey", 700).alias("updated_at"),
+        home = "(p_partkey div 67 + 1)"
+        places = f"array_distinct(array({home}, greatest({home} - 1, 1L), 1L))"
+        stock = self.star("part").selectExpr("*", f"posexplode({places}) AS (slot, store)")
+        return stock.selectExpr(
+            _EVERY_TENANT,
+            "p_partkey * 3 + slot + 1 AS inventory_id",
+            "p_partkey + 1 AS product_id",
+            "store AS store_id",
+            "p_partkey div 20 + 1 AS supplier_id",
+            "(p_partkey * 7 + slot * 13) % 60 AS stock_qty",
+            "5 + p_partkey % 16 AS reorder_level",
+            f"if(p_partkey % 17 <> 0, {_at('2001-01-01', 'p_partkey', 200)}, NULL)"
+            " AS last_restocked",
+            *_stamps("p_partkey"),
         )
 
     def _customer_loyalty(self) -> DataFrame:
         # MACHINERY customers never joined; AUTOMOBILE customers hold two cards.
         cards = (
             self.star("customer")
-            .filter(F.col("c_mktsegment") != "MACHINERY")
-            .withColumn("spend", F.greatest(_money("c_acctbal"), F.lit(0).cast("decimal(18,2)")) * 400)
-            .withColumn(
-                "card",
-                F.explode(
-                    F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.array(F.lit(0), F.lit(1)))
-                    .otherwise(F.array(F.lit(0)))
-                ),
+            .filter("c_mktsegment <> 'MACHINERY'")
+            .selectExpr(
+                "*",
+                "greatest(CAST(c_acctbal AS DECIMAL(18,2)), 0) * 400 AS spend",
+                "explode(if(c_mktsegment = 'AUTOMOBILE', array(0, 1), array(0))) AS card",
             )
         )
-        spend = F.col("spend")
-        return _every_tenant(cards).select(
-            "tenant_id",
-            (F.col("c_custkey") * 2 + F.col("card") + 1).alias("loyalty_id"),
-            (F.col("c_custkey") + 1).alias("customer_id"),
-            F.when(F.col("card") == 1, "BRONZE")
-            .when(spend >= 3000000, "platinum")
-            .when(spend >= 1500000, "Gold")
-            .when(spend >= 500000, "SILVER")
-            .otherwise("bronze")
-            .alias("tier"),
-            F.floor(spend.cast("double") / 1000).alias("points"),
-            spend.cast("decimal(18,2)").alias("total_spend"),
-            F.date_add(_day("1994-01-01", "c_custkey", 500), F.col("card") * 40).alias("member_since"),
-            _at("1994-01-01", "c_custkey", 500).alias("created_at"),
-            _at("1994-01-01", "c_custkey", 500).alias("updated_at"),
+        return cards.selectExpr(
+            _EVERY_TENANT,
+            "c_custkey * 2 + card + 1 AS loyalty_id",
+            "c_custkey + 1 AS customer_id",
+            "CASE WHEN card = 1 THEN 'BRONZE' WHEN spend >= 3000000 THEN 'platinum'"
+            " WHEN spend >= 1500000 THEN 'Gold' WHEN spend >= 500000 THEN 'SILVER'"
+            " ELSE 'bronze' END AS tier",
+            "floor(CAST(spend AS DOUBLE) / 1000) AS points",
+            "CAST(spend AS DECIMAL(18,2)) AS total_spend",
+            f"date_add({_day('1994-01-01', 'c_custkey', 500)}, card * 40) AS member_since",
+            *_stamps("c_custkey", "1994-01-01", 500),
         )
 
     # -- movements ------------------------------------------------------
 
     def _transactions(self) -> DataFrame:
         # Low-priority orders were first stored as pending, a day before their final state.
-        key = F.col("o_orderkey")
-        final = F.col("version") == 1
-        status = (
-            F.when(~final, "pending")
-            .when(F.col("o_orderstatus") == "P", "cancelled")
-            .otherwise("completed")
-        )
-        orders = self.star("orders").withColumn(
-            "version",
-            F.explode(
-                F.when(F.col("o_orderpriority") == "5-LOW", F.array(F.lit(0), F.lit(1)))
-                .otherwise(F.array(F.lit(1)))
-            ),
-        )
-        return orders.select(
-            _tenant_of("o_orderkey").alias("tenant_id"),
-            (key + 1).alias("transaction_id"),
-            F.when(key % 89 != 0, F.col("o_custkey") + 1).alias("customer_id"),
-            F.when(key % 97 != 0, _block("o_custkey", 50) + 1).alias("store_id"),
-            F.when(key % 50 != 0, _block("o_custkey", 10) + 1).alias("employee_id"),
-            F.timestamp_add("SECOND", (key % 86400).cast("int"), F.col("o_orderdate"))
-            .alias("transaction_date"),
-            _money("o_totalprice").alias("total_amount"),
-            F.when(F.col("o_orderpriority") == "1-URGENT", "Credit")
-            .when(F.col("o_orderpriority") == "2-HIGH", "DEBIT")
-            .when(F.col("o_orderpriority") == "3-MEDIUM", "e-Wallet")
-            .otherwise("Cash")
-            .alias("payment_method"),
-            status.alias("status"),
-            F.col("o_orderdate").alias("created_at"),
-            F.timestamp_add("DAY", F.col("version"), F.col("o_orderdate")).alias("updated_at"),
+        versions = "explode(if(o_orderpriority = '5-LOW', array(0, 1), array(1))) AS version"
+        return self.star("orders").selectExpr("*", versions).selectExpr(
+            _tenant_of("o_orderkey"),
+            "o_orderkey + 1 AS transaction_id",
+            "if(o_orderkey % 89 <> 0, o_custkey + 1, NULL) AS customer_id",
+            "if(o_orderkey % 97 <> 0, o_custkey div 50 + 1, NULL) AS store_id",
+            "if(o_orderkey % 50 <> 0, o_custkey div 10 + 1, NULL) AS employee_id",
+            "timestampadd(SECOND, CAST(o_orderkey % 86400 AS INT), o_orderdate)"
+            " AS transaction_date",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount",
+            "CASE o_orderpriority WHEN '1-URGENT' THEN 'Credit' WHEN '2-HIGH' THEN 'DEBIT'"
+            " WHEN '3-MEDIUM' THEN 'e-Wallet' ELSE 'Cash' END AS payment_method",
+            "CASE WHEN version = 0 THEN 'pending' WHEN o_orderstatus = 'P' THEN 'cancelled'"
+            " ELSE 'completed' END AS status",
+            "o_orderdate AS created_at",
+            "timestampadd(DAY, version, o_orderdate) AS updated_at",
         )
 
     def _transaction_items(self) -> DataFrame:
         # (order, line number) repeats: those rows are versions, ordered by ship date.
-        price = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5) / 100
-        kept = F.lit(1).cast("decimal(5,2)") - F.col("l_discount").cast("decimal(4,2)")
-        return self.star("lineitem").select(
-            _tenant_of("l_orderkey").alias("tenant_id"),
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
-            (F.col("l_orderkey") + 1).alias("transaction_id"),
-            (F.col("l_partkey") + 1).alias("product_id"),
-            F.col("l_quantity").cast("long").alias("quantity"),
-            _money(price).alias("unit_price"),
-            _money(F.col("l_discount") * 100).alias("discount"),
-            F.round(_money("l_extendedprice") * kept, 2).cast("decimal(18,2)").alias("subtotal"),
-            F.col("l_shipdate").alias("created_at"),
-            F.col("l_shipdate").alias("updated_at"),
+        kept = "(CAST(1 AS DECIMAL(5,2)) - CAST(l_discount AS DECIMAL(4,2)))"
+        return self.star("lineitem").selectExpr(
+            _tenant_of("l_orderkey"),
+            "l_orderkey * 10 + l_linenumber AS item_id",
+            "l_orderkey + 1 AS transaction_id",
+            "l_partkey + 1 AS product_id",
+            "CAST(l_quantity AS BIGINT) AS quantity",
+            "CAST(floor(l_extendedprice / l_quantity * 100D + 0.5D) / 100D AS DECIMAL(18,2))"
+            " AS unit_price",
+            "CAST(l_discount * 100D AS DECIMAL(18,2)) AS discount",
+            f"CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * {kept}, 2) AS DECIMAL(18,2))"
+            " AS subtotal",
+            "l_shipdate AS created_at",
+            "l_shipdate AS updated_at",
         )
 
     def _transaction_promotions(self) -> DataFrame:
         # Urgent orders used their customer's campaign; large ones one more.
         # Every eighth campaign stays unused.
-        block = _block("o_custkey", 15)
-        first = F.when(block % 8 == 7, block - 1).otherwise(block)
-        second = F.greatest(first - 2, F.lit(0).cast("long"))
+        first = "(o_custkey div 15 - if(o_custkey div 15 % 8 = 7, 1, 0))"
+        second = f"greatest({first} - 2, 0L)"
+        campaigns = f"if(o_totalprice > 300000, array({first}, {second}), array({first}))"
         uses = (
             self.star("orders")
-            .filter(F.col("o_orderpriority") == "1-URGENT")
-            .withColumn(
-                "campaigns",
-                F.when(F.col("o_totalprice") > 300000, F.array(first, second)).otherwise(F.array(first)),
-            )
-            .select("*", F.posexplode("campaigns").alias("slot", "campaign"))
+            .filter("o_orderpriority = '1-URGENT'")
+            .selectExpr("*", f"posexplode({campaigns}) AS (slot, campaign)")
         )
-        key = F.col("o_orderkey")
-        return uses.select(
-            _tenant_of("o_orderkey").alias("tenant_id"),
-            (key * 2 + F.col("slot") + 1).alias("id"),
-            (key + 1).alias("transaction_id"),
-            (F.col("campaign") + 1).alias("promo_id"),
-            F.round(_percent(_money("o_totalprice") * _small(3 + (key + F.col("slot")) % 13)), 2)
-            .cast("decimal(18,2)")
-            .alias("discount_applied"),
-            F.col("o_orderdate").alias("created_at"),
-            F.col("o_orderdate").alias("updated_at"),
+        return uses.selectExpr(
+            _tenant_of("o_orderkey"),
+            "o_orderkey * 2 + slot + 1 AS id",
+            "o_orderkey + 1 AS transaction_id",
+            "campaign + 1 AS promo_id",
+            f"{_percent_of('o_totalprice', '(3 + (o_orderkey + slot) % 13)')} AS discount_applied",
+            "o_orderdate AS created_at",
+            "o_orderdate AS updated_at",
         )
