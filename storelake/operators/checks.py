@@ -99,9 +99,25 @@ def scan_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return totals.select(F.inline(rows))
 
 
-def unique_check(df: DataFrame, check: Check) -> DataFrame:
-    failing = repeated_keys(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
-    return failing.select(F.inline(F.array(_result(check, F.col("failures")))))
+def keyed_checks(df: DataFrame, unique: Check, checks: Sequence[Check] = ()) -> DataFrame:
+    """A uniqueness check and all column checks of the same model in one pass over it.
+
+    Column violations are summed per key along with the row count, so they ride on the
+    shuffle that uniqueness needs anyway."""
+    key = F.col(unique.column)
+    per_key = df.groupBy(key.alias("key")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(_violates(c)).alias(f"f{i}") for i, c in enumerate(checks)],
+    )
+    repeated = F.count_if(F.col("key").isNotNull() & (F.col("rows") > 1))
+    zero = F.lit(0).cast("long")
+    totals = per_key.agg(
+        repeated.alias("repeated"),
+        *[F.coalesce(F.sum(f"f{i}"), zero).alias(f"f{i}") for i in range(len(checks))],
+    )
+    results = [_result(unique, F.col("repeated"))]
+    results += [_result(c, F.col(f"f{i}")) for i, c in enumerate(checks)]
+    return totals.select(F.inline(F.array(*results)))
 
 
 def relationship_check(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:

@@ -15,11 +15,11 @@ from storelake.operators.checks import (
     amount_reconcile,
     enforce,
     freshness,
+    keyed_checks,
     relationship_check,
     row_count_reconcile,
     scan_checks,
     union_all,
-    unique_check,
 )
 from storelake.operators.versions import current_rows
 from storelake.plans.warehouse import Warehouse
@@ -169,28 +169,39 @@ def _frame(wh: Warehouse, name: str) -> DataFrame:
 def run_checks(wh: Warehouse, checks: Sequence[Check], store: bool = True) -> DataFrame:
     """One result row per check.
 
-    Column checks of a model share one scan.  Models that several scans read are
-    written to the scratch folder first (the gate checks built tables, and a plan that
-    rebuilt them per check would repeat every join)."""
-    scans: dict[str, list[Check]] = {}
-    keyed: list[Check] = []
+    Column checks and the key check of a model share one pass; each relationship is one
+    more.  Models that several passes read are written to the scratch folder first (the
+    gate checks built tables, and a plan that rebuilt them per pass would repeat every
+    join)."""
+    columns: dict[str, list[Check]] = {}
+    keys: dict[str, Check] = {}
+    more_keys: list[Check] = []
+    relations: list[Check] = []
     for check in checks:
-        if check.kind in ("not_null", "accepted_values"):
-            scans.setdefault(check.model, []).append(check)
+        if check.kind == "relationships":
+            relations.append(check)
+        elif check.kind != "unique":
+            columns.setdefault(check.model, []).append(check)
+        elif check.model in keys:
+            more_keys.append(check)
         else:
-            keyed.append(check)
+            keys[check.model] = check
+    passes = list(dict.fromkeys([*columns, *keys]))
     if store:
-        uses = Counter(list(scans) + [c.model for c in keyed] + [c.parent for c in keyed if c.parent])
-        shared = [m for m, n in uses.items() if n > 1 and not m.startswith("raw.")]
+        reads = passes + [c.model for c in more_keys + relations] + [c.parent for c in relations]
+        shared = [m for m, n in Counter(reads).items() if n > 1 and not m.startswith("raw.")]
         if shared:
             wh.materialize(scratch_path(_frame(wh, shared[0]).sparkSession, "checked"), names=shared)
-    frames = [scan_checks(_frame(wh, model), group) for model, group in scans.items()]
-    for check in keyed:
-        child = _frame(wh, check.model)
-        if check.kind == "unique":
-            frames.append(unique_check(child, check))
+    frames = []
+    for model in passes:
+        found = columns.get(model, [])
+        if model in keys:
+            frames.append(keyed_checks(_frame(wh, model), keys[model], found))
         else:
-            frames.append(relationship_check(child, _frame(wh, check.parent), check))
+            frames.append(scan_checks(_frame(wh, model), found))
+    frames += [keyed_checks(_frame(wh, c.model), c) for c in more_keys]
+    for check in relations:
+        frames.append(relationship_check(_frame(wh, check.model), _frame(wh, check.parent), check))
     return union_all(frames)
 
 

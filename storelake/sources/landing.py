@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from storelake.operators.extract import conformed, epoch, watermark_state
 from storelake.operators.versions import current_rows
+from storelake.session import written
 from storelake.sources.catalog import CATALOG, LANDED_AT, TENANT, TableSpec, UnknownTable
 
 WATERMARKS = T.StructType(
@@ -124,6 +125,15 @@ class LandingZone(Mapping[str, DataFrame]):
             "tenant_id string, table_name string, rows long",
         )
 
+    def compact(self, name: str, tenant: str) -> None:
+        """Drop superseded versions of one tenant, so that reads stop sorting through them.
+
+        The surviving rows are first stored in the scratch folder: files cannot replace the
+        files they are computed from, and a run that dies in between loses nothing."""
+        mine = self.current(name).filter(F.col(TENANT) == tenant).drop(TENANT)
+        kept = written(mine, f"compact-{name}")
+        kept.write.mode("overwrite").parquet(self._tenant_path(name, tenant))
+
     def _clear(self, name: str, tenant: str) -> None:
         fields = [f for f in self.spec(name).raw_schema.fields if f.name != TENANT]
         empty = self.spark.createDataFrame([], T.StructType(fields))

@@ -146,6 +146,15 @@ def test_incremental_runs_are_repeatable_and_miss_late_commits(spark, zone):
     assert landed(zone) == sorted([*state, ("a", 3, "late")])
 
 
+def test_compaction_keeps_the_state_and_other_tenants(spark, zone):
+    zone.append(suppliers(spark, ("a", 1, "v1", "2024-01-01"), ("b", 1, "x", "2024-01-01")), "suppliers")
+    zone.append(suppliers(spark, ("a", 1, "v2", "2024-01-02"), ("b", 1, "y", "2024-01-02")), "suppliers")
+    before = landed(zone)
+    zone.compact("suppliers", "a")
+    assert landed(zone) == before == [("a", 1, "v2"), ("b", 1, "y")]
+    assert sorted(rows(zone["suppliers"].groupBy("tenant_id").count())) == [("a", 1), ("b", 2)]
+
+
 def stores(spark):
     return raw_table(
         spark, "stores", [dict(tenant_id=t, store_id=1, updated_at=ts("2024-02-02")) for t in "ab"]

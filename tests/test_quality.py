@@ -80,6 +80,33 @@ def test_row_level_operators(spark):
     assert rows(checks.unaccepted_rows(df, "k", ["a"])) == [("b",)]
 
 
+def test_key_and_column_checks_share_a_pass(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 3), (None, None)], "k string, v long")
+    unique = Check("staging", "m", "k", "unique")
+    columns = [
+        Check("staging", "m", "k", "not_null"),
+        Check("staging", "m", "v", "not_null"),
+        Check("staging", "m", "v", "accepted_values", "warn", (1,)),
+    ]
+    merged = sorted(rows(checks.keyed_checks(df, unique, columns)))
+    apart = rows(checks.scan_checks(df, columns)) + rows(checks.keyed_checks(df, unique))
+    assert merged == sorted(apart)
+    assert {(r[2], r[3]): r[5] for r in merged} == {
+        ("k", "unique"): 1,
+        ("k", "not_null"): 1,
+        ("v", "not_null"): 2,
+        ("v", "accepted_values"): 1,
+    }
+    empty = rows(checks.keyed_checks(df.limit(0), unique, columns))
+    assert [r[5] for r in empty] == [0, 0, 0, 0]
+
+
+def test_two_keys_of_one_model_are_both_checked(spark):
+    wh = good_shop(spark)
+    both = [Check("staging", "stg_customers", c, "unique") for c in ("customer_sk", "customer_id")]
+    assert sorted(r["column"] for r in quality.run_checks(wh, both).collect()) == ["customer_id", "customer_sk"]
+
+
 def test_warnings_never_stop_the_gate_and_errors_do(spark):
     df = spark.createDataFrame([("x",), (None,)], "k string")
     warn = Check("staging", "m", "k", "not_null", "warn")
