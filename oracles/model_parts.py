@@ -50,7 +50,7 @@ SELECT {_sk('item_id', 'item_sk')}, tenant_id, item_id, transaction_id,
        {_sk('transaction_id', 'transaction_sk')}, product_id, {_sk('product_id', 'product_sk')},
        quantity, unit_price, discount, subtotal, created_at, updated_at
 FROM {_newest('transaction_items', 'item_id',
-              ', product_id DESC, quantity DESC, unit_price DESC, discount DESC, subtotal DESC')}""",
+              ', subtotal DESC, product_id DESC')}""",
     "stg_transaction_promotions": f"""
 SELECT {_sk('id', 'txn_promo_sk')}, tenant_id, id AS txn_promo_id, transaction_id,
        {_sk('transaction_id', 'transaction_sk')}, promo_id, {_sk('promo_id', 'promo_sk')},

@@ -13,15 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 #   skewJoin            one hot key may hold a third of a table: AQE cuts its
 #                       shuffle partition into several tasks on the join's row side
 #   forceOptimize...    do that even when a later aggregate then needs one more shuffle
-#   autoBroadcast...    broadcast a join side whose size, measured after its own shuffle,
-#                       is below this; the planning-time limit stays Spark's default
 #   partitionOverwrite  a full load may only replace the tenants it brings
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

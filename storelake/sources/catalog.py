@@ -109,7 +109,7 @@ _SPECS = [
         "item_id",
         "item_id long, transaction_id long, product_id long?, quantity long, unit_price money,"
         " discount money, subtotal money",
-        ("product_id", "quantity", "unit_price", "discount", "subtotal"),
+        ("subtotal", "product_id"),
     ),
     _table(
         "transaction_promotions",
