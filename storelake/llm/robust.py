@@ -38,8 +38,9 @@ LEAST_WORDS = 50
 CORE = 0.75
 STEPS = 6
 LEAST_ROWS = 100
-# Smallest standard deviation taken for a coordinate; many are zero in most documents.
-FLOOR = (0.05, 0.05, 0.05, 0.05)
+# Smallest standard deviation taken for a coordinate: most are zero in most documents, and a line
+# or a phrase said twice is no fault yet.
+FLOOR = (0.05, 0.05, 0.1, 0.1)
 # Beyond any chi-square quantile that chance reaches: 4 degrees of freedom, 1 in 10^9.
 LIMIT = 47.6
 COORDINATES = ("word_length", "symbols", "dup_lines", "repeats")

@@ -40,7 +40,7 @@ from storelake.session import written
 
 FOLDS, HELD_FOLD = 3, 1
 CUT = 0.7
-FIT_ROWS = 600
+FIT_ROWS = 300
 MOST_WORDS = 20_000
 LEAST_EVIDENCE = 1.0
 SEED = 5
