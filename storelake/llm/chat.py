@@ -2,8 +2,8 @@
 
 A conversation becomes windows of whole turns.  Prefix sums of turn tokens place every turn:
 turns that start in the same stride form a span, a turn longer than a stride is a span alone.
-With two strides and the history making up the budget, a window stays within it unless a
-single turn is longer than that.  Each window repeats the system turn and the last turns before
+With two strides and the history making up the budget, a window stays within it unless the
+system turn or a single other turn is longer than that: turns are never torn.  Each window repeats the system turn and the last turns before
 its span, up to ``history`` tokens; only assistant texts of the span itself are in its loss mask.
 
 Template: ``<s>role\\ntext</s>`` per turn.  Inside roles and texts a backslash is doubled and
@@ -46,7 +46,7 @@ def unescaped(text: Column) -> Column:
 
 def escaped_role(role: Column) -> Column:
     """As ``escaped``, and no plain line feed, which ends the role."""
-    return F.regexp_replace(escaped(role), "\n", "\\\\\\\\\n")
+    return F.regexp_replace(escaped(role), "\n", "\\\\\n")
 
 
 def placed_turns(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:

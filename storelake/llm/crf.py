@@ -126,7 +126,7 @@ def _gradient(model: Crf, levels: np.ndarray, tags: np.ndarray, lengths: np.ndar
     return diff.sum(), by(levels), by(left), by(right), seen - pairs
 
 
-def trained(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 40, rate: float = 0.5, decay: float = 1e-3) -> Crf:
+def trained(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 40, rate: float = 2.0, decay: float = 1e-3) -> Crf:
     """Fit by adaptive gradient ascent with L2 decay; ``sequences``: (levels, tags) per text."""
     model = Crf.start()
     sequences = sorted((s for s in sequences if len(s[0])), key=lambda s: -len(s[0]))
