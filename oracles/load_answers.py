@@ -108,10 +108,7 @@ FROM (SELECT DISTINCT category FROM q_revenue_margin) AS c
 CROSS JOIN (SELECT DISTINCT quarter FROM q_revenue_margin) AS d
 LEFT JOIN q_revenue_margin USING (category, quarter)""",
     "cohort_matrix": """
-SELECT cohort_month, month_offset, retention_pct
-FROM (SELECT DISTINCT cohort_month FROM q_cohort_retention) AS c
-CROSS JOIN (SELECT DISTINCT month_offset FROM q_cohort_retention) AS d
-LEFT JOIN q_cohort_retention USING (cohort_month, month_offset)""",
+SELECT cohort_month, month_offset, retention_pct, cohort_size FROM q_cohort_retention""",
     "roi_sign_flag": """
 SELECT promo_name, promo_type, roi,
        CASE WHEN roi < 0 THEN 'negative' ELSE 'positive' END AS sign
@@ -145,7 +142,7 @@ FROM (SELECT cu.customer_sk, cu.tenant_id, cu.customer_id, ifnull(sum(net_amount
     "units_sold": """
 SELECT tenant_id, store_sk, product_sk, CAST(sum(quantity) AS BIGINT) AS units
 FROM fact_sales GROUP BY ALL""",
-    "dim_loyalty_tier": """
+    "loyalty_tier_members": """
 SELECT tier_sk, tier, tier_rank, CAST(min_spend AS DOUBLE) AS min_spend,
        (SELECT count(*) FROM fact_loyalty_activity AS card
         WHERE card.tier_sk = dim_loyalty_tier.tier_sk) AS members

@@ -7,30 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LABELS = 10_000
 
-
-class TooManyLabels(ValueError):
-    """A pivot would make more columns than a plan can hold; keep the long form."""
-
-
-def labels_of(df: DataFrame, column: str) -> list:
-    """Distinct labels in order.  They become column names, so there must be few."""
-    rows = df.select(column).distinct().orderBy(column).limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise TooManyLabels(column)
-    return [r[0] for r in rows]
-
-
-def pivoted(
-    df: DataFrame, row: str, column: str, value: str, labels: Sequence, fill: float | int | None = None
-) -> DataFrame:
-    """One row per ``row`` value, one column per label; absent cells get ``fill``."""
-    wide = df.groupBy(row).pivot(column, list(labels)).agg(F.sum(value))
-    return wide if fill is None else wide.fillna(fill, [str(label) for label in labels])
-
-
-def unpivoted(wide: DataFrame, row: str, column: str, value: str, labels: Sequence) -> DataFrame:
-    """Back to one row per cell, empty cells included."""
-    cells = [F.col(f"`{label}`") for label in labels]
-    return wide.unpivot([row], cells, column, value)
+def pivoted(df: DataFrame, row: str, column: str, value: str, labels: Sequence[str], fill: float | int) -> DataFrame:
+    """One row per ``row`` value and one column per given label; absent cells get ``fill``."""
+    return df.groupBy(row).pivot(column, list(labels)).agg(F.sum(value)).fillna(fill, list(labels))
+
+
+def completed(df: DataFrame, row: str, column: str, value: str, fill: float | int) -> DataFrame:
+    """Every ``row`` label with every ``column`` label, summed; absent cells get ``fill``.
+
+    All column labels travel as one array and each row label brings its cells as one map, so
+    labels are data: any number, NULL and any characters.  Both are one entry per label.
+    """
+    label = F.struct(F.col(column).alias("label"))
+    cells = df.groupBy(row, column).agg(F.sum(value).alias("cell"))
+    labels = df.agg(F.sort_array(F.collect_set(label))).scalar()
+    known = F.map_from_entries(F.collect_list(F.struct(label.alias("key"), F.col("cell").alias("value"))))
+    return (
+        cells.groupBy(row)
+        .agg(known.alias("_cells"))
+        .select(row, "_cells", F.explode(labels).alias("_at"))
+        .select(row, F.col("_at.label").alias(column), F.coalesce(F.try_element_at("_cells", F.col("_at")), F.lit(fill)).alias(value))
+    )

@@ -23,7 +23,7 @@ from storelake.operators.checks import (
 )
 from storelake.operators.versions import current_rows
 from storelake.plans.warehouse import Warehouse
-from storelake.session import scratch_path
+from storelake.session import written
 from storelake.sources.catalog import spec_of
 
 # Gate order.  Source checks run with the staging layer.
@@ -170,10 +170,10 @@ def run_checks(wh: Warehouse, checks: Sequence[Check], store: bool = True) -> Da
     """One result row per check.
 
     Column checks and the key check of a model share one pass; each relationship is one
-    more.  Models that several passes read are written to the scratch folder first (the
-    gate checks built tables, and a plan that rebuilt them per pass would repeat every
-    join)."""
+    more.  Of models that several passes read, the checked columns are written to the
+    scratch folder first, unless the model is stored already; the warehouse stays as it is."""
     columns: dict[str, list[Check]] = {}
+    narrow: dict[str, DataFrame] = {}
     keys: dict[str, Check] = {}
     more_keys: list[Check] = []
     relations: list[Check] = []
@@ -190,18 +190,23 @@ def run_checks(wh: Warehouse, checks: Sequence[Check], store: bool = True) -> Da
     if store:
         reads = passes + [c.model for c in more_keys + relations] + [c.parent for c in relations]
         shared = [m for m, n in Counter(reads).items() if n > 1 and not m.startswith("raw.")]
-        if shared:
-            wh.materialize(scratch_path(_frame(wh, shared[0]).sparkSession, "checked"), names=shared)
+        for model in shared:
+            if model not in wh.stored:
+                own = [c.column for c in checks if c.model == model]
+                up = [c.parent_column for c in checks if c.parent == model and c.parent_column]
+                columns_read = list(dict.fromkeys([*own, *up]))
+                narrow[model] = written(_frame(wh, model).select(*columns_read), "checked")
+    frame = lambda name: narrow[name] if name in narrow else _frame(wh, name)
     frames = []
     for model in passes:
         found = columns.get(model, [])
         if model in keys:
-            frames.append(keyed_checks(_frame(wh, model), keys[model], found))
+            frames.append(keyed_checks(frame(model), keys[model], found))
         else:
-            frames.append(scan_checks(_frame(wh, model), found))
-    frames += [keyed_checks(_frame(wh, c.model), c) for c in more_keys]
+            frames.append(scan_checks(frame(model), found))
+    frames += [keyed_checks(frame(c.model), c) for c in more_keys]
     for check in relations:
-        frames.append(relationship_check(_frame(wh, check.model), _frame(wh, check.parent), check))
+        frames.append(relationship_check(frame(check.model), frame(check.parent), check))
     return union_all(frames)
 
 
@@ -215,6 +220,15 @@ def source_counts(sources: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def on_grid(counts: DataFrame, tenants: Sequence[str], tables: Sequence[str], *zeros: str) -> DataFrame:
+    """Every pair of tenant and table; pairs without a row count 0."""
+    grid = counts.sparkSession.createDataFrame(
+        [(t, n) for t in tenants for n in tables], "tenant_id string, table_name string"
+    )
+    filled = {c: F.coalesce(c, F.lit(0).cast("long")) for c in zeros}
+    return grid.join(counts, ["tenant_id", "table_name"], "left").withColumns(filled)
+
+
 def landed_counts(raw: Mapping[str, DataFrame], tables: Sequence[str]) -> DataFrame:
     """Rows per tenant and table after collapsing versions."""
     return source_counts({name: current_rows(raw[name], spec_of(name)) for name in tables})
@@ -225,14 +239,21 @@ def reconcile_landing(
     raw: Mapping[str, DataFrame],
     tables: Sequence[str] | None = None,
     tolerance: int = 0,
+    tenants: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Landed against source counts; an unknown table is an error."""
+    """Landed against source counts; an unknown table is an error.
+
+    With ``tenants`` exactly the pairs of those tenants and the tables are reported, also
+    those without any row."""
     names = list(sources) if tables is None else list(tables)
     for name in names:
         spec_of(name)
-    return row_count_reconcile(
+    compared = row_count_reconcile(
         source_counts({n: sources[n] for n in names}), landed_counts(raw, names), tolerance
     )
+    return compared if tenants is None else on_grid(compared, tenants, names, "source_rows", "landed_rows").withColumn(
+        "status", F.coalesce("status", F.lit("OK"))
+    )
 
 
 def revenue_reconcile(wh: Warehouse) -> DataFrame:

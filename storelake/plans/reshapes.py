@@ -1,28 +1,20 @@
 """Chart-ready reshapes of question results.
 
-Each works on a finished, small question result; where the labels come from the data
-that result is stored once, so the question does not run twice."""
+Each works on a finished question result; labels that come from the data stay data."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelake.operators.pivots import labels_of, pivoted, unpivoted
+from storelake.operators.pivots import completed, pivoted
 from storelake.plans import questions as q
 from storelake.plans.warehouse import Warehouse
-from storelake.session import written
-
-
-def _matrix(result: DataFrame, row: str, column: str, value: str, fill: float | None) -> DataFrame:
-    stored = written(result.select(row, column, value), "matrix")
-    labels = labels_of(stored, column)
-    return unpivoted(pivoted(stored, row, column, value, labels, fill), row, column, value, labels)
 
 
 def pivot_store_month(wh: Warehouse, tenant: str | None = None) -> DataFrame:
     """Every store with every month, 0 where nothing was sold."""
-    return _matrix(q.revenue_by_store(wh, tenant), "store_name", "year_month", "revenue", 0.0)
+    return completed(q.revenue_by_store(wh, tenant), "store_name", "year_month", "revenue", 0.0)
 
 
 def top_promotions(wh: Warehouse, tenant: str | None = None, k: int = 10) -> DataFrame:
@@ -45,13 +37,12 @@ def pivot_city_segment(wh: Warehouse, tenant: str | None = None) -> DataFrame:
 
 
 def pivot_category_quarter(wh: Warehouse, tenant: str | None = None) -> DataFrame:
-    return _matrix(q.revenue_margin(wh, tenant), "category", "quarter", "revenue", 0.0)
+    return completed(q.revenue_margin(wh, tenant), "category", "quarter", "revenue", 0.0)
 
 
 def cohort_matrix(wh: Warehouse, tenant: str | None = None) -> DataFrame:
-    """Cohort by month offset; cells without activity stay empty (NULL)."""
-    long = _matrix(q.cohort_retention(wh, tenant), "cohort_month", "month_offset", "retention_pct", None)
-    return long.withColumn("month_offset", F.col("month_offset").cast("int"))
+    """A point per cohort and month offset that has activity, with the cohort's size."""
+    return q.cohort_retention(wh, tenant).select("cohort_month", "month_offset", "retention_pct", "cohort_size")
 
 
 def roi_sign_flag(wh: Warehouse, tenant: str | None = None) -> DataFrame:

@@ -17,6 +17,8 @@ MODELS: dict[str, tuple[str, Model]] = {}
 LAYERS = ("staging", "intermediate", "marts")
 # Stored layers; staging stays a lazy view over the raw tables.
 TABLE_LAYERS = ("intermediate", "marts")
+# Staged tables that more than one of them reads.
+SHARED_STAGING = ("stg_transactions", "stg_transaction_items", "stg_transaction_promotions", "stg_promotions")
 
 
 def model(layer: str) -> Callable[[Model], Model]:
@@ -41,18 +43,44 @@ class Warehouse:
         self.raw = raw
         self.loaded_at = loaded_at
         self._built: dict[str, DataFrame] = {}
+        self.stored: dict[str, DataFrame] = {}
+        self._uses: dict[str, set[str]] = {}
+        self._open: list[str] = []
+
+    @classmethod
+    def open(cls, raw: Mapping[str, DataFrame], path: str, names: Iterable[str] | None = None, **options) -> Warehouse:
+        """A warehouse over models another session stored below ``path`` (all table layers by default)."""
+        self = cls(raw, **options)
+        chosen = [n for n, (layer, _) in MODELS.items() if layer in TABLE_LAYERS] if names is None else list(names)
+        # Composed only for its declared schema; no job runs.
+        self._keep({name: _reopened(self[name], f"{path}/{name}") for name in chosen})
+        return self
 
     def __getitem__(self, name: str) -> DataFrame:
+        for user in self._open:
+            self._uses.setdefault(user, set()).add(name)
         if name not in self._built:
             if name not in MODELS:
                 raise KeyError(f"no such model: {name}")
-            self._built[name] = MODELS[name][1](self)
+            self._open.append(name)
+            try:
+                self._built[name] = MODELS[name][1](self)
+            finally:
+                self._open.pop()
         return self._built[name]
 
+    def _keep(self, stored: Mapping[str, DataFrame]) -> None:
+        """Take up stored models; those composed before are composed anew above them."""
+        self.stored.update(stored)
+        self._built = dict(self.stored)
+
     def replace(self, name: str, df: DataFrame) -> Warehouse:
-        """The same warehouse with one model substituted (downstream models follow)."""
+        """The same warehouse with one model substituted; models above it follow, other stored
+        ones are carried on."""
         other = Warehouse(self.raw, self.loaded_at)
-        other._built[name] = df
+        other._uses = {k: set(v) for k, v in self._uses.items()}
+        other.stored = {k: v for k, v in self.stored.items() if k != name and name not in self._uses.get(k, ())}
+        other._built = {**other.stored, name: df}
         return other
 
     def materialize(
@@ -66,8 +94,11 @@ class Warehouse:
 
         Tenant-scoped tables are partitioned by tenant, so tenant questions prune.  The
         write keeps the partitioning the plan produced; it never gathers one tenant
-        into one task.
+        into one task.  Staged tables that several stored models read are written once, below
+        ``_staged``, so each raw table is sorted out by version once.
         """
+        if names is None and "staging" not in layers:
+            self.materialize(f"{path}/_staged", names=SHARED_STAGING)
         wanted = set(names) if names is not None else None
         for layer in LAYERS:
             chosen = [
@@ -81,7 +112,7 @@ class Warehouse:
             frames = {name: self[name] for name in chosen}
             with ThreadPoolExecutor(max_workers=side_by_side) as pool:
                 stored = pool.map(lambda name: _stored(frames[name], f"{path}/{name}"), chosen)
-                self._built.update(zip(chosen, stored, strict=True))
+                self._keep(dict(zip(chosen, stored, strict=True)))
         return self
 
 
@@ -96,5 +127,9 @@ def _stored(df: DataFrame, target: str) -> DataFrame:
     if tenant_scoped:
         writer = writer.partitionBy("tenant_id")
     writer.parquet(target)
+    return _reopened(df, target)
+
+
+def _reopened(df: DataFrame, target: str) -> DataFrame:
     # Declared schema with tenant as text: partition values are never guessed.
     return df.sparkSession.read.schema(df.schema).parquet(target).select(*df.columns)

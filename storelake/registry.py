@@ -57,7 +57,7 @@ def _over_star(fn: Callable[[RetailStar], DataFrame]) -> Query:
 
 
 def registered() -> dict[str, Query]:
-    # The constant tier table is shown with its members (see AUDITS), never alone.
+    # The constant tier table reads no table; its members are shown instead (see AUDITS).
     found: dict[str, Query] = {name: _over_star(fn) for name, fn in STAR_LOADS.items()}
     found |= {name: _model(name) for name in MODELS if name != "dim_loyalty_tier"}
     for group in (QUESTIONS, AUDITS, RESHAPES, RULES):

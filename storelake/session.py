@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +23,13 @@ REQUIRED = {
 }
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
+def apply_settings(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """``shuffle_partitions`` bounds what one task of an aggregation or a window holds: take
+    the bytes of the largest shuffle over 200 MB.  Adaptive execution joins small ones again."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
 
 
@@ -46,23 +50,32 @@ def local_session(cores: int | str = "*", app: str = "storelake", **conf: str) -
     return apply_settings(spark)
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="storelake-")
+def _scratch_root(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``, else one below the warehouse: both are
+    reached by all executors."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder for tables written inside one job.
+    """A fresh sub-folder for tables written inside one job."""
+    return f"{_scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
-    Clusters name a folder all executors can reach in ``spark.checkpoint.dir``;
-    only a local session may fall back to a folder of this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_root()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A scratch folder that is gone after the block."""
+    path = scratch_path(spark, purpose)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

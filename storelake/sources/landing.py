@@ -6,13 +6,13 @@ import datetime
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelake.operators.extract import conformed, epoch, watermark_state
+from storelake.operators.extract import conformed, epoch, instant, micros, watermark_state
 from storelake.operators.versions import current_rows
-from storelake.session import written
+from storelake.session import remove
 from storelake.sources.catalog import CATALOG, LANDED_AT, TENANT, TableSpec, UnknownTable
 
 WATERMARKS = T.StructType(
@@ -48,9 +48,16 @@ class LandingZone(Mapping[str, DataFrame]):
     def path(self, name: str) -> str:
         return f"{self.root}/raw/{name}"
 
+    def stream_path(self, name: str) -> str:
+        """Streams land beside batch loads: a folder per stream and micro-batch."""
+        return f"{self.root}/streams/{name}"
+
     def __getitem__(self, name: str) -> DataFrame:
+        """All versions: what batch loads and what streams landed."""
         schema = self.spec(name).raw_schema
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
+        folders = self.path(name), self.stream_path(name)
+        read = [self.spark.read.schema(schema).parquet(f).select(*schema.names) for f in folders]
+        return read[0].unionByName(read[1])
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.specs)
@@ -67,14 +74,29 @@ class LandingZone(Mapping[str, DataFrame]):
         """Make missing tables; existing ones keep their rows."""
         for name, spec in self.specs.items():
             empty = self.spark.createDataFrame([], spec.raw_schema)
-            empty.write.mode("ignore").partitionBy(TENANT).parquet(self.path(name))
+            for folder, levels in ((self.path(name), []), (self.stream_path(name), ["_stream", "_batch"])):
+                placed = empty.withColumns({level: F.lit("") for level in levels})
+                placed.write.mode("ignore").partitionBy(*levels, TENANT).parquet(folder)
         empty = self.spark.createDataFrame([], WATERMARKS)
-        empty.write.mode("ignore").parquet(self._log_path)
+        empty.write.mode("ignore").partitionBy(TENANT).parquet(self._log_path)
+        return self
+
+    def registered(self, database: str) -> LandingZone:
+        """``create``, and the batch-landed tables as external tables of a catalog database."""
+        self.create()
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for name, spec in self.specs.items():
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.raw_schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet "
+                f"PARTITIONED BY (`{TENANT}`) LOCATION '{self.path(name)}'"
+            )
+            self.spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
         return self
 
     def stamped(self, df: DataFrame, name: str, landed_at: datetime.datetime | None) -> DataFrame:
         """Source rows (with tenant) in the landed layout."""
-        moment = F.current_timestamp() if landed_at is None else F.lit(landed_at).cast("timestamp")
+        moment = F.current_timestamp() if landed_at is None else instant(landed_at)
         return conformed(df, self.spec(name)).withColumn(LANDED_AT, moment)
 
     def append(
@@ -107,32 +129,45 @@ class LandingZone(Mapping[str, DataFrame]):
         a tenant alone when its new slice is empty, so tenants without new rows are then
         overwritten with an empty file.  Returns rows per listed tenant."""
         mine = F.col(TENANT).isin(list(tenants))
-        rows = self.stamped(df, name, landed_at).filter(mine)
+        written = Observation()
+        each = [F.count_if(F.col(TENANT) == t).alias(f"n{i}") for i, t in enumerate(tenants)]
+        rows = self.stamped(df, name, landed_at).filter(mine).observe(written, *each)
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(TENANT)
             .parquet(self.path(name))
         )
-        fresh = self[name].filter(mine & (F.col(LANDED_AT) == F.lit(landed_at).cast("timestamp")))
-        counts = fresh.groupBy(TENANT).agg(F.count(F.lit(1)).alias("rows"))
-        loaded = {row[TENANT]: row["rows"] for row in counts.collect()}  # one row per tenant
+        # Counted by the write itself, one metric per tenant.
+        loaded = {t: written.get[f"n{i}"] for i, t in enumerate(tenants)}
         for tenant in tenants:
-            if tenant not in loaded:
+            if not loaded[tenant]:
                 self._clear(name, tenant)
         return self.spark.createDataFrame(
-            [(t, name, loaded.get(t, 0)) for t in tenants],
+            [(t, name, loaded[t]) for t in tenants],
             "tenant_id string, table_name string, rows long",
         )
 
     def compact(self, name: str, tenant: str) -> None:
         """Drop superseded versions of one tenant, so that reads stop sorting through them.
 
-        The surviving rows are first stored in the scratch folder: files cannot replace the
-        files they are computed from, and a run that dies in between loses nothing."""
-        mine = self.current(name).filter(F.col(TENANT) == tenant).drop(TENANT)
-        kept = written(mine, f"compact-{name}")
-        kept.write.mode("overwrite").parquet(self._tenant_path(name, tenant))
+        The surviving rows are added as new files, then the files they were read from are
+        removed.  A run that dies in between leaves rows twice, which reads collapse; rows
+        that land meanwhile are in files that are not on the list."""
+        folder = self._tenant_path(name, tenant)
+        fields = [f for f in self.spec(name).raw_schema.fields if f.name != TENANT]
+        landed = self.spark.read.schema(T.StructType(fields)).parquet(folder)
+        old = landed.inputFiles()
+        mine = self.spark.read.schema(landed.schema).parquet(*old).select(F.lit(tenant).alias(TENANT), "*") if old else None
+        if mine is None:
+            return
+        kept = current_rows(mine, self.spec(name)).select(*landed.columns)
+        kept.write.mode("append").parquet(folder)
+        for path in old:
+            self._removed(path)
+
+    def _removed(self, path: str) -> None:
+        remove(self.spark, path)
 
     def _clear(self, name: str, tenant: str) -> None:
         fields = [f for f in self.spec(name).raw_schema.fields if f.name != TENANT]
@@ -140,9 +175,13 @@ class LandingZone(Mapping[str, DataFrame]):
         empty.write.mode("overwrite").parquet(self._tenant_path(name, tenant))
 
     def _tenant_path(self, name: str, tenant: str) -> str:
+        return f"{self.path(name)}/{TENANT}={self._folder_name(tenant)}"
+
+    @staticmethod
+    def _folder_name(tenant: str) -> str:
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", tenant):
             raise ValueError(f"tenant id not usable as a folder name: {tenant!r}")
-        return f"{self.path(name)}/{TENANT}={tenant}"
+        return tenant
 
     # -- watermarks ----------------------------------------------------------
 
@@ -163,17 +202,14 @@ class LandingZone(Mapping[str, DataFrame]):
     def watermark(self, tenant: str, table: str) -> datetime.datetime:
         return self.watermarks([tenant], [table]).first().watermark
 
-    def set_watermarks(self, rows: Sequence[tuple[str, str, datetime.datetime]]) -> None:
-        """Append new states (whole seconds, as they are read back)."""
-        if not rows:
-            return
-        log = self.spark.createDataFrame(
-            list(rows), "tenant_id string, table_name string, watermark timestamp"
-        )
-        (
-            log.withColumn("watermark", F.date_trunc("second", F.greatest("watermark", epoch())))
-            .withColumn("updated_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(self._log_path)
-        )
+    def set_watermarks(self, rows: Sequence[tuple[str, str, datetime.datetime | int]]) -> None:
+        """Append new states (whole seconds, as they are read back); times as microseconds or in UTC.
+
+        Every tenant has a folder of its own, so tenants may commit at the same time."""
+        for tenant in dict.fromkeys(t for t, _, _ in rows):
+            mine = [(name, micros(moment)) for t, name, moment in rows if t == tenant]
+            log = self.spark.createDataFrame(mine, "table_name string, micros long").coalesce(1)
+            moment = F.date_trunc("second", F.greatest(F.timestamp_micros("micros"), epoch()))
+            log.select("table_name", moment.alias("watermark"), F.current_timestamp().alias("updated_at")).write.mode(
+                "append"
+            ).parquet(f"{self._log_path}/{TENANT}={self._folder_name(tenant)}")

@@ -37,15 +37,26 @@ def jdbc_source(
     url: str,
     tenant: Tenant,
     spec: TableSpec,
-    splits: int = 1,
+    splits: int = 16,
     key_range: tuple[int, int] | None = None,
     **options: str,
 ) -> DataFrame:
     """One tenant's table in its source database.
 
     Spark pushes the catalog's column list and any ``updated_at > ...`` filter into the
-    database.  With ``key_range`` the key splits the scan into ``splits`` parallel reads.
+    database.  The key splits the scan into ``splits`` parallel reads, over ``key_range`` or
+    the smallest and largest key, which the database is asked for.
     """
+    if splits > 1 and key_range is None:
+        bounds = (
+            spark.read.format("jdbc")
+            .option("url", url)
+            .option("query", f'SELECT min("{spec.key}") AS low, max("{spec.key}") AS high FROM "{tenant.schema}"."{spec.name}"')
+            .options(**options)
+            .load()
+            .first()
+        )
+        key_range = (int(bounds[0]), int(bounds[1])) if bounds and bounds[0] is not None else None
     reader = (
         spark.read.format("jdbc")
         .option("url", url)

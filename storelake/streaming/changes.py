@@ -1,8 +1,8 @@
-"""Structured Streaming ingestion into a versioned table.
+"""Structured Streaming ingestion into the landing zone.
 
-The stream keeps no state: micro-batches are appended as they come and versions are
-resolved when the table is read, so memory does not grow with the number of keys and
-late versions need no watermark."""
+The stream keeps no state: micro-batches are landed as they come and versions are resolved
+when the table is read, so memory does not grow with the number of keys and late versions
+need no watermark."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH = "_batch_id"
+from storelake.sources.catalog import TENANT
+from storelake.sources.landing import LandingZone
 
 
 def file_changes(
@@ -22,20 +23,23 @@ def file_changes(
     )
 
 
-def ingest_available(
-    changes: DataFrame, target: str, checkpoint: str, partition: str = "tenant_id"
-) -> None:
+def ingest_available(changes: DataFrame, zone: LandingZone, name: str, checkpoint: str) -> None:
     """Land everything that has arrived since the last run, then stop.
 
-    Each micro-batch owns a folder named by its id and overwrites it, so a batch that is
-    replayed after a crash lands once."""
+    Each micro-batch owns the folder of its stream and number, and overwrites it: a batch
+    that is replayed after a crash lands once, and streams cannot touch each other's rows.
+    The stream's id is part of its checkpoint.  Without that checkpoint it is another
+    stream, which lands what is still there again; reads collapse the repeats by version."""
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stream = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
         (
-            batch.write.mode("overwrite")
+            zone.stamped(batch, name, None)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy(partition)
-            .parquet(f"{target}/{BATCH}={batch_id}")
+            .partitionBy(TENANT)
+            .parquet(f"{zone.stream_path(name)}/_stream={stream}/_batch={batch_id}")
         )
 
     query = (
@@ -47,7 +51,6 @@ def ingest_available(
     query.awaitTermination()
 
 
-def landed_changes(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """All landed rows in the declared layout, without the batch folder column."""
-    layout = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(layout).parquet(target).select(*[F.col(f.name) for f in schema.fields])
+def streamed(zone: LandingZone, name: str) -> DataFrame:
+    """What streams landed, without the landing time."""
+    return zone[name].select(TENANT, *[F.col(c) for c in zone.spec(name).column_names])

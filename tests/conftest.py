@@ -10,7 +10,9 @@ from storelake.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "tests", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("warehouse"))
+    settings = {"spark.sql.shuffle.partitions": "4", "spark.sql.warehouse.dir": folder}
+    session = local_session(8, "tests", **settings)
     yield session
     session.stop()

@@ -1,10 +1,16 @@
 import datetime
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from shop import raw_table, rows, ts
 from storelake.operators import extract, loads
+from storelake.session import scratch
 from storelake.sources.catalog import CATALOG, spec_of
 from storelake.sources.landing import LandingZone
 from storelake.sources.readers import Tenant, parquet_source, read_tenants
@@ -175,7 +181,7 @@ def test_commit_modes_after_a_failure(spark, zone, commit):
         return source_of(frames)(tenant, name)
 
     order = ["suppliers", "customers", "stores"]
-    done = loads.incremental_load(zone, source, ["a", "b"], order, commit=commit)
+    done = loads.incremental_load(zone, source, ["a", "b"], order, commit=commit, raise_failures=False)
     assert loads.failed_tenants(done) == ["a"]
     marks = {(r.tenant_id, r.table_name): r.watermark for r in zone.watermarks(["a", "b"], order).collect()}
     assert marks["b", "suppliers"] == ts("2024-01-01") and marks["b", "stores"] == ts("2024-02-02")
@@ -191,6 +197,100 @@ def test_commit_modes_after_a_failure(spark, zone, commit):
     assert report.filter("error is not null").count() == 1
 
 
+def test_a_failed_tenant_raises_after_the_others_committed(spark, zone):
+    frames = {"suppliers": suppliers(spark, ("b", 1, "y", "2024-01-01"))}
+
+    def source(tenant, name):
+        if tenant == "a":
+            raise ConnectionError("down")
+        return source_of(frames)(tenant, name)
+
+    with pytest.raises(loads.LoadFailed, match="a.suppliers: down"):
+        loads.incremental_load(zone, source, ["a", "b"], ["suppliers"])
+    assert zone.watermark("b", "suppliers") == ts("2024-01-01")
+
+
+def test_extract_cut_offs_reach_the_file_scan(spark, tmp_path):
+    path = str(tmp_path / "all")
+    df = suppliers(spark, ("a", 1, "x", "2024-01-01"), ("b", 1, "y", "2024-01-01"))
+    df.write.parquet(path)
+    state = spark.createDataFrame([("a", ts("2023-05-06")), ("b", ts("2023-07-08"))], "tenant_id string, watermark timestamp")
+    pulled = extract.incremental_extract(spark.read.schema(df.schema).parquet(path), state)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = pulled._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThan(updated_at,2023-05-06" in plan and "GreaterThan(updated_at,2023-07-08" in plan
+    assert pulled.count() == 2
+
+
+def test_an_interrupted_compaction_loses_nothing(spark, zone, monkeypatch):
+    for name, day in (("v1", "2024-01-01"), ("v2", "2024-01-02")):
+        zone.append(suppliers(spark, ("a", 1, name, day), ("a", 2, "other", day)), "suppliers")
+
+    def dies(path):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(zone, "_removed", dies)
+        with pytest.raises(OSError):
+            zone.compact("suppliers", "a")
+    assert landed(zone) == [("a", 1, "v2"), ("a", 2, "other")]
+    zone.compact("suppliers", "a")
+    assert landed(zone) == [("a", 1, "v2"), ("a", 2, "other")]
+    assert zone["suppliers"].count() == 2
+
+
+def test_scratch_is_empty_after_its_block(spark):
+    with scratch(spark, "block") as path:
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
+def test_catalog_tables_over_the_landed_folders(spark, zone):
+    zone.append(suppliers(spark, ("a", 1, "x", "2024-01-01")), "suppliers")
+    zone.registered("pos_test")
+    assert spark.table("pos_test.suppliers").count() == 1
+    spark.sql("DROP DATABASE pos_test CASCADE")
+    assert landed(zone) == [("a", 1, "x")]
+
+
+# The repeated hour of an autumn night: 05:30 and 06:10 UTC are both 01:xx in New York.
+_SUMMER_TIME = """
+import sys
+sys.path[:0] = [{root!r}, {tests!r}]
+from pyspark.sql import functions as F
+from storelake.operators import loads
+from storelake.session import local_session
+from storelake.sources.catalog import CATALOG
+from storelake.sources.landing import LandingZone
+spark = local_session(2, "zones", **{{"spark.sql.warehouse.dir": {folder!r}}})
+spec = CATALOG["suppliers"]
+zone = LandingZone(spark, {folder!r} + "/zone", {{"suppliers": spec}}).create()
+def at(*minutes):
+    stamp = lambda m: F.expr(f"timestamp'2024-11-03 05:00:00' + make_interval(0, 0, 0, 0, 0, {{m}})")
+    frames = [spark.range(1).select(*[
+        (stamp(m) if f.name == spec.version else F.lit(m) if f.name == spec.key else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in spec.source_schema.fields]) for m in minutes]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+loads.incremental_load(zone, lambda t, n: at(30), ["a"], ["suppliers"])
+loads.incremental_load(zone, lambda t, n: at(30, 70), ["a"], ["suppliers"])
+print("LANDED", zone["suppliers"].count())
+"""
+
+
+def test_watermarks_survive_a_zone_with_summer_time(tmp_path):
+    tests = Path(__file__).resolve().parent
+    code = _SUMMER_TIME.format(root=str(tests.parent), tests=str(tests), folder=str(tmp_path))
+    env = os.environ | {"TZ": "America/New_York"}
+    ran = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert "LANDED 2" in ran.stdout, ran.stderr[-2000:]
+
+
 def test_tenant_config(spark, tmp_path):
     path = tmp_path / "tenants.json"
     path.write_text(json.dumps({"tenants": [{"tenant_id": "a", "schema": "s", "display_name": "A"}]}, indent=2))

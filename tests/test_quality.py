@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shop import line, rows, sale, shop, ts
+from shop import line, raw_table, rows, sale, shop, ts
 from storelake.operators import checks
 from storelake.operators.checks import Check, GateFailed
 from storelake.plans import quality
@@ -164,3 +164,12 @@ def test_run_gates_stops_at_the_landing_counts(spark):
     with pytest.raises(GateFailed, match="row_count"):
         quality.run_gates(wh, source, F.lit(NOW))
     quality.run_gates(wh, {"customers": wh.raw["customers"]}, F.lit(NOW))
+
+
+def test_reconciliation_reports_pairs_without_rows(spark):
+    empty = {"suppliers": raw_table(spark, "suppliers", [])}
+    got = quality.reconcile_landing(empty, empty, tenants=["a", "b"])
+    assert sorted(rows(got.select("tenant_id", "table_name", "source_rows", "landed_rows", "status"))) == [
+        ("a", "suppliers", 0, 0, "OK"),
+        ("b", "suppliers", 0, 0, "OK"),
+    ]
