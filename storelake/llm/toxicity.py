@@ -16,7 +16,7 @@ Defined results
     no usable labels     score 0 for all
     conflicting labels   a document labelled twice counts under both
     very long text       scored whole; the cost follows its evidence
-    repeated rows        rows of their own
+    repeated rows        rows of their own; they share one vote as evidence
     empty table          no rows
     clashing columns     only doc_id, text, labels.doc_id and labels.toxic are read
 """
@@ -110,29 +110,38 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
     return tuple(theta)
 
 
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [signature(tokens(t)) for t in batch["text"].cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "signature": pa.array(found, pa.int64())})
+
+
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of the rows whose text has the wanted signature."""
     for batch in batches:
         rows = [tokens(t) for t in batch["text"].cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "toxic": batch["toxic"],
-                "signature": pa.array([signature(r) for r in rows], pa.int64()),
-                "words": pa.array([sorted(set(r)) for r in rows], pa.list_(pa.binary())),
-            }
-        )
-
-
-def _evidence(labelled: DataFrame) -> tuple[dict[bytes, int], float]:
-    """Words with their level of evidence, and the share of toxic documents."""
-    rows = labelled.select("toxic", "text").mapInArrow(_document_words, "toxic int, signature long, words array<binary>")
-    # One document per signature and label; the smallest word list, so that reruns agree.
-    contents = written(rows.groupBy("signature", "toxic").agg(F.min("words").alias("words")), "contents")
+        batch = batch.append_column("words", pa.array([sorted(set(r)) for r in rows], pa.list_(pa.binary())))
+        wanted = [signature(r) == s for r, s in zip(rows, batch["signature"].to_pylist())]
+        yield batch.select(["toxic", "rows", "words"]).filter(pa.array(wanted, pa.bool_()))
+
+
+def _evidence(train: DataFrame, labelled: DataFrame) -> dict[bytes, int]:
+    """Words with their level of evidence; ``labelled``: (doc_id, signature, toxic) of training documents.
+
+    Copies are found by signatures alone, so texts move once, to the one document of each
+    signature and label that counts; its rows share that count if the document is repeated.
+    """
+    ids = labelled.groupBy("signature", "toxic", "doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    least = ids.groupBy("signature", "toxic").agg(F.min(F.struct("doc_id", "rows")).alias("w"))
+    contents = written(least.select("signature", "toxic", "w.doc_id", "w.rows"), "contents")
     totals = {r["toxic"]: r["n"] for r in contents.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     t, c = totals.get(1, 0), totals.get(0, 0)
     if not t or not c:
-        return {}, 0.0
-    counts = contents.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
-        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")
+        return {}
+    words = train.join(contents.hint("merge"), "doc_id").select("toxic", "rows", "signature", "text")
+    words = words.mapInArrow(_document_words, "toxic int, rows long, words array<binary>")
+    counts = words.select("toxic", "rows", F.explode("words").alias("word")).groupBy("word").agg(
+        F.round(F.sum(F.col("toxic") / F.col("rows")), 6).alias("t"), F.round(F.sum((1 - F.col("toxic")) / F.col("rows")), 6).alias("c")
     )
     odds = lambda n, of: F.log((F.col(n) + 0.5) / (F.lit(of + 0.5) - F.col(n)))
     spread = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
@@ -144,22 +153,26 @@ def _evidence(labelled: DataFrame) -> tuple[dict[bytes, int], float]:
         .limit(MOST_WORDS)
         .collect()
     )
-    return {bytes(r["word"]): min(LEVELS - 1, max(1, int(r["bound"] / 0.75))) for r in strong}, t / (t + c)
+    return {bytes(r["word"]): min(LEVELS - 1, max(1, int(r["bound"] / 0.75))) for r in strong}
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled documents outside the held-out fold."""
     toxic = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")).distinct()
-    labelled = docs.where(id_bucket(FOLDS) != HELD_FOLD).select("doc_id", "text").join(toxic, "doc_id")
-    evidence, _ = _evidence(labelled)
+    train = docs.where(id_bucket(FOLDS) != HELD_FOLD).select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # Labels grow with the documents: sorted and merged at every size, never broadcast.
+    prints = train.mapInArrow(_signatures, f"doc_id {kind}, signature long")
+    labelled = written(prints.join(toxic.hint("merge"), "doc_id"), "labelled")
+    evidence = _evidence(train, labelled)
     if not evidence:
         return Model({}, Crf.start(), (-30.0, 0.0, 0.0))
-    ranked = labelled.select("toxic", "doc_id", F.xxhash64(F.lit(SEED), "doc_id").alias("h"))
+    ids = labelled.select("toxic", "doc_id").distinct().withColumn("h", F.xxhash64(F.lit(SEED), "doc_id"))
     chosen = None
     for label in (0, 1):
-        part = ranked.where(F.col("toxic") == label).orderBy("h", "doc_id").limit(FIT_ROWS)
+        part = ids.where(F.col("toxic") == label).orderBy("h", "doc_id").limit(FIT_ROWS)
         chosen = part if chosen is None else chosen.unionByName(part)
-    sample = labelled.join(F.broadcast(chosen.select("doc_id", "toxic")), ["doc_id", "toxic"])
+    sample = train.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +199,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     x = np.array([model.features(r["places"], r["levels"], r["n"]) for r in rows])
     y = np.array([float(r["toxic"]) for r in rows])
     # The sample holds both labels evenly; weights restore their true shares.
-    true = {r["toxic"]: r["count"] for r in toxic.groupBy("toxic").count().collect()}
+    true = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     share = {k: true.get(k, 0) / max(1, sum(true.values())) for k in (0, 1)}
     drawn = {k: max(1, int((y == k).sum())) / len(y) for k in (0, 1)}
     model.weights = _logistic(x, y, np.array([share[int(k)] / drawn[int(k)] for k in y]))
