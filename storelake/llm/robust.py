@@ -174,7 +174,8 @@ def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     for _ in range(steps):
         state = written(state, "mcd-state")
         placed = leveled.join(state.drop("n"), GROUP).withColumn("d", _distance())
-        radius = placed.groupBy(*GROUP).agg(F.percentile_approx("d", CORE, 1000).alias("radius"))
+        # A written table of groups: its size is known, so rows do not move to it unless it is large.
+        radius = written(placed.groupBy(*GROUP).agg(F.percentile_approx("d", CORE, 1000).alias("radius")), "mcd-radius")
         core = placed.join(radius, GROUP).where("d <= radius")
         sums = core.groupBy(*GROUP).agg(
             F.count(F.lit(1)).alias("n"),
