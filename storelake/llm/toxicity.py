@@ -42,7 +42,7 @@ FOLDS, HELD_FOLD = 3, 1
 CUT = 0.7
 FIT_ROWS = 300
 MOST_WORDS = 20_000
-LEAST_EVIDENCE = 2.5
+LEAST_EVIDENCE = 1.5
 SEED = 5
 PLAIN = bytes(ord(chr(i).lower()) if i < 128 and chr(i).isalpha() else (32 if i < 128 else i) for i in range(256))
 
