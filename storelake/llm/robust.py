@@ -2,8 +2,9 @@
 
 Every document becomes a vector of transformed statistics.  Per language and source, the
 minimum covariance determinant estimate is found by concentration steps: keep the ``CORE`` share
-of rows nearest to the present centre, take their mean and covariance, repeat.  The start is
-deterministic (median and quartile range of each coordinate).  A document is rejected when its
+of rows nearest to the present centre, take their mean and covariance, repeat.  The steps run from
+each of ``STARTS`` deterministic starts side by side, and the result of least determinant is taken;
+half the rows are the core, so up to nearly half of a group may be junk.  A document is rejected when its
 Mahalanobis distance from its group's estimate is beyond the chi-square limit and one of the
 coordinates that stand for junk is above the centre.
 
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelake.session import written
@@ -35,8 +36,11 @@ from storelake.session import written
 SYMBOLS = b"#*$%&|<>"
 WINDOW_WORDS = 3
 LEAST_WORDS = 50
-CORE = 0.75
+CORE = 0.5
 STEPS = 6
+# Medians with quartile ranges, medians with the floors, lower quartiles with quartile ranges (junk
+# lies above), mean and covariance of all rows.
+STARTS = ("quartiles", "floors", "low", "all")
 LEAST_ROWS = 100
 # Smallest standard deviation taken for a coordinate: most are zero in most documents, and a line
 # or a phrase said twice is no fault yet.
@@ -128,6 +132,10 @@ def _with_levels(rows: DataFrame) -> DataFrame:
 
 
 GROUP = ["level", "lang_", "source_"]
+STARTED = [*GROUP, "start"]
+_STATE = (
+    "level int, lang_ string, source_ string, start int, n long, centre array<double>, inverse array<double>, logdet double"
+)
 
 
 def _inverse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +143,7 @@ def _inverse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     p = len(COORDINATES)
     floor = np.diag(np.square(FLOOR))
     for batch in rows:
-        out = {c: batch[c] for c in (*GROUP, "n")}
+        out = {c: batch[c] for c in (*STARTED, "n")}
         n = batch["n"].to_numpy(zero_copy_only=False).astype(float)
         sums = np.array(batch["sums"].to_pylist(), dtype=float).reshape(-1, p)
         products = np.array(batch["products"].to_pylist(), dtype=float).reshape(-1, p, p)
@@ -143,9 +151,18 @@ def _inverse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cov = products / n[:, None, None] - mean[:, :, None] * mean[:, None, :] + floor
         out["centre"] = pa.array(mean.tolist(), pa.list_(pa.float64()))
         out["inverse"] = pa.array(np.linalg.inv(cov).reshape(-1, p * p).tolist(), pa.list_(pa.float64()))
+        out["logdet"] = pa.array(np.linalg.slogdet(cov)[1])
         yield pa.RecordBatch.from_pydict(out)
 
 
+def _sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*STARTED).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(c) for c in COORDINATES]).alias("sums"),
+        F.array(*[F.sum(F.col(a) * F.col(b)) for a in COORDINATES for b in COORDINATES]).alias("products"),
+    ).mapInArrow(_inverse, _STATE)
+
+
 def _distance(centre: str = "centre", inverse: str = "inverse"):
     p = len(COORDINATES)
     diff = [F.col(c) - F.col(centre)[i] for i, c in enumerate(COORDINATES)]
@@ -157,35 +174,33 @@ def _distance(centre: str = "centre", inverse: str = "inverse"):
 
 
 def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Centre and inverse covariance of every group, by concentration steps from the coordinate-wise start."""
+    """Centre and inverse covariance of every group: of the starts' concentration steps, those of least determinant."""
     p = len(COORDINATES)
     leveled = written(_with_levels(rows), "mcd-rows")
     quartiles = leveled.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(f"q_{c}") for c in COORDINATES]
     )
-    scale = [F.greatest((F.col(f"q_{c}")[2] - F.col(f"q_{c}")[0]) / 1.349, F.lit(f)) for c, f in zip(COORDINATES, FLOOR)]
+    spread = [F.greatest((F.col(f"q_{c}")[2] - F.col(f"q_{c}")[0]) / 1.349, F.lit(f)) for c, f in zip(COORDINATES, FLOOR)]
     zero = F.lit(0.0)
-    state = quartiles.select(
-        *GROUP,
-        "n",
-        F.array(*[F.col(f"q_{c}")[1] for c in COORDINATES]).alias("centre"),
-        F.array(*[1 / (scale[i] * scale[i]) if i == j else zero for i in range(p) for j in range(p)]).alias("inverse"),
-    )
+
+    def start(number: int, quartile: int, scale: list) -> Column:
+        return F.struct(
+            F.lit(number).alias("start"),
+            F.array(*[F.col(f"q_{c}")[quartile] for c in COORDINATES]).alias("centre"),
+            F.array(*[1 / (scale[i] * scale[i]) if i == j else zero for i in range(p) for j in range(p)]).alias("inverse"),
+        )
+
+    placed_starts = F.array(start(0, 1, spread), start(1, 1, [F.lit(f) for f in FLOOR]), start(2, 0, spread))
+    state = quartiles.withColumn("s", F.explode(placed_starts)).select(*GROUP, "s.start", "n", "s.centre", "s.inverse", zero.alias("logdet"))
+    state = state.unionByName(_sums(leveled.withColumn("start", F.lit(len(STARTS) - 1))))
     for _ in range(steps):
         state = written(state, "mcd-state")
-        placed = leveled.join(state.drop("n"), GROUP).withColumn("d", _distance())
+        placed = leveled.join(state.select(*STARTED, "centre", "inverse"), GROUP).withColumn("d", _distance())
         # A written table of groups: its size is known, so rows do not move to it unless it is large.
-        radius = written(placed.groupBy(*GROUP).agg(F.percentile_approx("d", CORE, 1000).alias("radius")), "mcd-radius")
-        core = placed.join(radius, GROUP).where("d <= radius")
-        sums = core.groupBy(*GROUP).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array(*[F.sum(c) for c in COORDINATES]).alias("sums"),
-            F.array(*[F.sum(F.col(a) * F.col(b)) for a in COORDINATES for b in COORDINATES]).alias("products"),
-        )
-        state = sums.mapInArrow(
-            _inverse, "level int, lang_ string, source_ string, n long, centre array<double>, inverse array<double>"
-        )
-    return written(state, "mcd-state")
+        radius = written(placed.groupBy(*STARTED).agg(F.percentile_approx("d", CORE, 1000).alias("radius")), "mcd-radius")
+        state = _sums(placed.join(radius, STARTED).where("d <= radius"))
+    best = written(state, "mcd-state").groupBy(*GROUP).agg(F.min_by(F.struct("n", "centre", "inverse"), F.struct("logdet", "start")).alias("b"))
+    return written(best.select(*GROUP, "b.*"), "mcd-best")
 
 
 def consistency(p: int = len(COORDINATES), core: float = CORE) -> float:

@@ -184,6 +184,30 @@ def test_minimum_covariance_resists_a_quarter_of_outliers(llm):
     assert np.abs(np.diag(cov) - 1).max() < 0.5
 
 
+def test_copies_of_one_junk_document_do_not_become_the_core(llm):
+    rng = random.Random(12)
+
+    def junk(words, every):
+        return " ".join(w + "%%%" if k % every == 0 else w for k, w in enumerate(words.split()))
+
+    rows = [(i, prose(rng, rng.randint(60, 400)), "en", "s", 0) for i in range(270)]
+    rows += [(1000 + i, junk(prose(rng, rng.randint(60, 400)), 1 + i % 3), "en", "s", 0) for i in range(20)]
+    copy = junk(prose(rng, 200), 2)
+    rows += [(2000 + i, copy, "en", "s", 0) for i in range(145)]
+    out = robust.judged(documents(llm, rows)).collect()
+    assert {r.doc_id for r in out if not r.kept} == {r[0] for r in rows if r[0] >= 1000}
+
+
+def test_least_determinant_of_the_starts_is_taken(llm):
+    rng = np.random.default_rng(1)
+    # Both groups of rows hold about half; the tight one has the least determinant.
+    tight, wide = rng.normal(0, 0.3, (520, 4)), rng.normal(6, 3, (480, 4))
+    values = [("en", "s", *map(float, x)) for x in np.vstack([tight, wide])]
+    df = llm.createDataFrame(values, "lang string, source string, " + ", ".join(f"{c} double" for c in robust.COORDINATES))
+    state = robust.estimates(df).where("level = 0").first()
+    assert np.abs(np.array(state.centre)).max() < 0.2
+
+
 # -- token counts ------------------------------------------------------------------------------
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
