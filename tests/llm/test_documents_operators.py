@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from compare import difference
 from corpus import documents, got, many, odd_rows, prose, word
-from storelake.llm import queries, robust, sharding, simhash, tokencount, urlfilter
+from storelake.llm import nearcopies, queries, robust, sharding, simhash, tokencount, urlfilter
 from storelake.llm.components import components
 
 
@@ -125,6 +126,51 @@ def test_no_documents_to_compare(llm):
     assert simhash.deduplicated(documents(llm, [])).count() == 0
 
 
+# -- near copies ---------------------------------------------------------------------------
+
+
+def slow_shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_near(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b) > 0
+
+
+def test_near_copies_go_and_all_others_stay(llm):
+    rng = random.Random(14)
+    rows = many(rng, 80, words=(1, 120)) + odd_rows()
+    planted = []
+    for i in range(150):
+        base = prose(rng, rng.randint(60, 300)).split()
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), rng.randint(1, max(1, len(copy) // 40))):
+            copy[at] = word(rng) + "x"
+        rows += [(5000 + 2 * i, " ".join(base), "en", "c", 0), (5001 + 2 * i, " ".join(copy), "en", "c", 0)]
+        if slow_near(slow_shingles(" ".join(base)), slow_shingles(" ".join(copy))):
+            planted.append(5001 + 2 * i)
+    family = prose(rng, 400).split()
+    for i in range(120):
+        copy = list(family)
+        for _ in range(rng.randint(0, 16)):
+            copy[rng.randrange(len(copy))] = word(rng)
+        rows.append((9000 + i, " ".join(copy), "en", "c", 0))
+    docs = documents(llm, rows).withColumn("node", F.lit("mine"))
+    out = nearcopies.deduplicated(docs)
+    assert out.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in out.collect()]
+    assert len(planted) > 80 and not {r[0] for r in kept} & set(planted)
+    sets = [slow_shingles(t) for _, t in kept]
+    assert not any(slow_near(a, b) for i, a in enumerate(sets) for b in sets[i + 1 :])
+    stayed = Counter(map(repr, kept))
+    for row in rows:
+        if not stayed[repr(row[:2])]:
+            own = slow_shingles(row[1])
+            assert any(slow_near(own, slow_shingles(r[1])) for r in rows if r is not row and r[0] is not None and (row[0] is None or r[0] <= row[0]))
+    assert nearcopies.deduplicated(documents(llm, [])).count() == 0
+
+
 # -- quality rules ---------------------------------------------------------------------------
 
 
