@@ -2,8 +2,8 @@
 
 Training labels are per document, so tokens are labelled from them: a token of a toxic document
 is toxic when its word is evidence for toxicity.  Evidence is the lower bound of the word's log
-odds, counted over all labelled training documents of different content (near copies share a
-signature and count once), in ``LEVELS`` steps.  The CRF learns from those token labels, with
+odds, counted over all labelled training documents of different content (copies of the
+same words share a signature and count once), in ``LEVELS`` steps.  The CRF learns from those token labels, with
 every token of a clean document labelled clean.  A document's score is a logistic function of
 the forward-backward marginals: the expected number of toxic tokens and the largest marginal.
 
@@ -25,12 +25,12 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,10 +53,8 @@ def tokens(text: bytes | None) -> list[bytes]:
 
 
 def signature(words: list[bytes]) -> int:
-    """The smallest hash of any three words in a row: near copies mostly share it."""
-    if len(words) < 3:
-        return zlib.crc32(b" ".join(words))
-    return min(map(zlib.crc32, map(b" ".join, zip(words, words[1:], words[2:]))))
+    """A 64-bit hash of the whole token sequence: only true copies share it."""
+    return xxhash.xxh64_intdigest(b" ".join(words), SEED) - (1 << 63)
 
 
 @dataclass

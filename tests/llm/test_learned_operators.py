@@ -173,6 +173,15 @@ def test_toxic_documents_and_spans(llm):
     assert kept.count() == 400 and kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_only_true_copies_share_a_signature():
+    rng = random.Random(15)
+    shared = prose(rng, 400)
+    texts = [f"{shared} {prose(rng, 4)} {i}x" + "yz"[i % 2] * (i + 1) for i in range(30)]
+    sign = lambda t: toxicity.signature(toxicity.tokens(t.encode()))
+    assert len({sign(t) for t in texts}) == 30
+    assert sign(texts[0].upper().replace(" ", ", ")) == sign(texts[0])
+
+
 def test_without_labels_nothing_is_toxic(llm):
     none = llm.createDataFrame([], "doc_id long, quality int, toxic int")
     out = toxicity.scored(documents(llm, odd_rows()), none).collect()
