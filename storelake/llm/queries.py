@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelake.llm import chat, decontam, lm, mixing, robust, sharding, simhash, tokencount, toxicity, urlfilter
+from storelake.llm import chat, decontam, filteraudit, lm, mixing, pii, repair, robust, sharding, simhash, tokencount, toxicity, urlfilter
 from storelake.llm.common import prepared, table
 
 
@@ -75,6 +75,19 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(table(prepared(spark), folder, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    prepared(spark)
+    return filteraudit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(pii.found_spans(table(prepared(spark), folder, "documents")))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repaired(repair.damaged(table(prepared(spark), folder, "conversations")))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_toxicity,
         op10_mixing,
+        op11_filter_audit,
+        op12_personal_data,
+        op13_conversation_repair,
         pipeline,
     )
     return {f.__name__: f for f in found}
@@ -100,7 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express; the others are tested against brute force."""
-    return {"op6_url_filters": OP6_SQL}
+    return {"op6_url_filters": OP6_SQL, "op11_filter_audit": filteraudit.SQL}
 
 
 # Rules by their text, then the listed host labels.
