@@ -10,7 +10,9 @@ WAND.  A retrieved item counts as leaked when the document holds enough word n-g
 its question (all but the last sentence) and its answer (the last sentence).
 
 The index is part of the task's code, in shards of at most ``SHARD_WORDS`` item words; a larger
-benchmark is passed over shard by shard, so what a task holds is bounded.
+benchmark is passed over shard by shard, so what a task holds is bounded.  Document frequencies, number
+and mean length of segments are those of the whole benchmark, counted by Spark, so scores do not depend on
+the shards.
 
 Defined results
     null or empty text     no passages, never contaminated; an empty item matches nothing
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelake.llm.common import WORD
+from storelake.session import written
 
 PASSAGE_WORDS = 96
 STRIDE = PASSAGE_WORDS // 2
@@ -89,29 +91,41 @@ class Index:
     short_weights: np.ndarray = None
 
 
-def build_index(items: list[tuple]) -> Index:
-    """``items``: (item_id, text)."""
+@dataclass(frozen=True)
+class Statistics:
+    """Of all segments of a benchmark: their number, mean length, and in how many a term is."""
+
+    n: int
+    mean: float
+    df: dict[bytes, int]
+
+
+def segments_of(words: list[bytes]) -> list[list[bytes]]:
+    """An item's words in pieces of equal length, ``SEGMENT_WORDS`` at most."""
+    size = -(-len(words) // max(1, -(-len(words) // SEGMENT_WORDS)))
+    return [words[at : at + size] for at in range(0, len(words), max(1, size))]
+
+
+def build_index(items: list[tuple], whole: Statistics | None = None) -> Index:
+    """``items``: (item_id, text); ``whole``: statistics of the benchmark they are part of, else their own."""
     index = Index([])
     segments: list[list[bytes]] = []
     for item_id, text in items:
         question, answer = question_and_answer(text or "")
-        words = question + answer
-        if not words:
-            continue
-        pieces = -(-len(words) // SEGMENT_WORDS)
-        size = -(-len(words) // pieces)
-        for at in range(0, len(words), size):
-            segments.append(words[at : at + size])
-            index.owner.append(len(index.items))
-        index.items.append((item_id, question, answer))
+        pieces = segments_of(question + answer)
+        if pieces:
+            segments += pieces
+            index.owner += [len(index.items)] * len(pieces)
+            index.items.append((item_id, question, answer))
     n = len(segments)
-    mean = sum(map(len, segments)) / max(1, n)
-    df = Counter(t for s in segments for t in set(s))
+    if whole is None:
+        whole = Statistics(n, sum(map(len, segments)) / max(1, n), Counter(t for s in segments for t in set(s)))
+    df, mean = whole.df, whole.mean
     found: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
     index.rest = np.zeros(n)
     for number, words in enumerate(segments):
         impact = {
-            t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(words) / mean))
+            t: math.log(1 + (whole.n - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * len(words) / mean))
             for t, c in Counter(words).items()
         }
         total = sum(impact.values())
@@ -264,17 +278,35 @@ def leaks(index: Index, texts: list[bytes | None], threshold: float = THRESHOLD)
                 yield row, item_id, score, overlaps[0], overlaps[1]
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per segment and term, and per segment one without a term that has its words."""
+    for batch in batches:
+        found, sizes = [], []
+        for text in batch["text"].to_pylist():
+            question, answer = question_and_answer(text)
+            for words in segments_of(question + answer):
+                mine = [None, *set(words)]
+                found += mine
+                sizes += [len(words)] + [0] * (len(mine) - 1)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(found, pa.binary()), "words": pa.array(sizes, pa.int64())})
+
+
 def indexes(benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> Iterator[Index]:
     """The benchmark's index, one bounded shard at a time."""
     items = benchmark.select("item_id", "text").where("text IS NOT NULL")
-    words = items.agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n")).first()["n"] or 0
+    counted = lambda part: part.select("text").mapInArrow(_counted, "term binary, words long")
+    terms_in = written(counted(items).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("words").alias("words")), "terms")
+    total = terms_in.where("term IS NULL").first()
+    n, words = (total["df"], total["words"]) if total else (0, 0)
     shards = max(1, -(-2 * words // shard_words))
     for shard in range(shards):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        yield build_index([tuple(r) for r in part.orderBy("item_id", "text").collect()])
+        own = terms_in if shards == 1 else terms_in.join(counted(part).select("term").distinct(), "term")
+        df = {bytes(r["term"]): r["df"] for r in own.where("term IS NOT NULL").select("term", "df").collect()}
+        yield build_index([tuple(r) for r in part.orderBy("item_id", "text").collect()], Statistics(n, words / max(1, n), df))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, shard_words: int = SHARD_WORDS) -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, score and both overlaps."""
     kinds = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
     schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, score double, question_overlap double, answer_overlap double"
@@ -292,7 +324,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         return run
 
     out = None
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, shard_words):
         part = docs.select("doc_id", "text").mapInArrow(finder(index), schema)
         out = part if out is None else out.unionByName(part)
     return out
@@ -304,7 +336,7 @@ def _arrow(kind):
     return to_arrow_type(kind)
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The documents that leak no item, with all their columns."""
 
     def keeper(index: Index):
@@ -318,6 +350,6 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THR
         return run
 
     kept = docs
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, shard_words):
         kept = kept.mapInArrow(keeper(index), docs.schema)
     return kept

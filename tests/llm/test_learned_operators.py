@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpus import documents, many, odd_rows, prose
+from corpus import documents, got, many, odd_rows, prose
 from storelake.llm import crf, decontam, gru, lm, toxicity
 
 # -- language model ------------------------------------------------------------------------
@@ -241,6 +241,31 @@ def test_leaks_are_found_and_clean_documents_stay(llm, monkeypatch):
     assert decontam.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_scores_do_not_depend_on_the_number_of_shards(llm):
+    """Items with a part of their words gone score close to the threshold."""
+    rng = random.Random(8)
+    bench = items(rng, 80)
+    rows = []
+    for i in range(200):
+        thinned = rng.choice(bench)[1].split()
+        gap = int(len(thinned) * rng.uniform(0.15, 0.3))
+        at = rng.randrange(len(thinned) - gap)
+        del thinned[at : at + gap]
+        rows.append((i, f"{prose(rng, 40)} {' '.join(thinned)} {prose(rng, 40)}", "en", "s", 0))
+    docs, benchmark = documents(llm, rows), llm.createDataFrame(bench, "item_id long, text string")
+    words = sum(len(decontam.terms(t.encode())) for _, t in bench)
+    columns = "doc_id", "item_id", "score"
+    want = sorted(got(decontam.contaminated(docs, benchmark), *columns))
+    assert len(want) > 20 and min(s for _, _, s in want) < decontam.THRESHOLD + 0.05
+    for shards in (2, 8):
+        most = -(-2 * words // shards)
+        assert len(list(decontam.indexes(benchmark, most))) == shards
+        found = sorted(got(decontam.contaminated(docs, benchmark, shard_words=most), *columns))
+        assert [f[:2] for f in found] == [w[:2] for w in want]
+        assert [f[2] for f in found] == pytest.approx([w[2] for w in want])
+    assert decontam.decontaminated(docs, benchmark, shard_words=-(-2 * words // 8)).count() == len(rows) - len({w[0] for w in want})
+
+
 # -- pipeline ------------------------------------------------------------------------------------
 
 
