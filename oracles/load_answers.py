@@ -36,6 +36,10 @@ _ALL_ROWS = "\nUNION ALL\n".join(
     f"SELECT tenant_id, '{t}' AS table_name FROM raw_{t}" for t in _TABLES
 )
 
+_STAMPED_ROWS = "\nUNION ALL\n".join(
+    f"SELECT tenant_id, '{t}' AS table_name, updated_at FROM raw_{t}" for t in _TABLES
+)
+
 LOAD_ANSWERS = {
     "tenant_union": """
 SELECT event_type AS tenant_id, user_id, event_id, ts, value, props FROM events""",
@@ -45,6 +49,11 @@ SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount) FROM raw_transac
 SELECT tenant_id, transaction_id, status, CAST(total_amount AS DOUBLE) AS total_amount, updated_at
 FROM raw_transactions
 WHERE tenant_id = 'tenant_01' OR (tenant_id = 'tenant_02' AND status = 'completed')""",
+    "full_load_catalog": f"""
+SELECT tenant_id, table_name, count(*) AS "rows", max(updated_at) AS newest
+FROM ({_STAMPED_ROWS}) AS loaded
+WHERE tenant_id = 'tenant_01' OR (tenant_id = 'tenant_02' AND updated_at < TIMESTAMP '1998-01-01')
+GROUP BY ALL""",
     "incremental_extract": """
 SELECT st.tenant_id, st.table_name, count(mv.updated_at) AS "rows",
        greatest(max(st.since), ifnull(max(mv.updated_at), max(st.since))) AS watermark

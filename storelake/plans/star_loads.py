@@ -65,6 +65,26 @@ def full_load(star: RetailStar) -> DataFrame:
     )
 
 
+def full_load_catalog(star: RetailStar) -> DataFrame:
+    """All twelve tables: streamed in, loaded in full, then tenant_02 again with its versions
+    before 1998 and tenant_03 with none.  Rows and newest version per tenant and table."""
+    zone = LandingZone(star.spark, scratch_path(star.spark, "catalog")).create()
+    at = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+    tables = {name: star[name] for name in CATALOG}
+    zone.append_batch(tables["transactions"], "transactions", "pos", 0)
+    loads.full_load(zone, tables, TENANTS, landed_at=at)
+    old = (F.col("tenant_id") == "tenant_02") & (F.col("updated_at") < F.lit("1998-01-01").cast("timestamp"))
+    again = {name: df.filter(old) for name, df in tables.items()}
+    loads.full_load(zone, again, ["tenant_02", "tenant_03"], landed_at=at + datetime.timedelta(hours=1))
+    return union_all(
+        zone[name]
+        .groupBy("tenant_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("newest"))
+        .select("tenant_id", F.lit(name).alias("table_name"), "rows", "newest")
+        for name in CATALOG
+    )
+
+
 def _only(*tables: str) -> dict[str, TableSpec]:
     return {name: CATALOG[name] for name in tables}
 
@@ -182,6 +202,7 @@ STAR_LOADS = {
         tenant_union,
         raw_typed,
         full_load,
+        full_load_catalog,
         incremental_extract,
         watermark_state,
         incremental_merge,

@@ -58,7 +58,8 @@ class Warehouse:
 
     def __getitem__(self, name: str) -> DataFrame:
         for user in self._open:
-            self._uses.setdefault(user, set()).add(name)
+            # A model built before was not entered again, so what it uses is taken from it.
+            self._uses.setdefault(user, set()).update({name} | self._uses.get(name, set()))
         if name not in self._built:
             if name not in MODELS:
                 raise KeyError(f"no such model: {name}")

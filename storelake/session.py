@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job expects; all can be changed on a live session.
@@ -68,6 +69,52 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _at(spark: SparkSession, path: str):
+    """A path, and the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def names_in(spark: SparkSession, folder: str, before_ms: int | None = None) -> list[str]:
+    """Names in a folder (none if it is missing), on request only of entries last changed before a time."""
+    target, files = _at(spark, folder)
+    if not files.exists(target):
+        return []
+    found = files.listStatus(target)
+    return [f.getPath().getName() for f in found if before_ms is None or f.getModificationTime() < before_ms]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, files = _at(spark, path)
+    stream = files.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file as a whole under a name that must be free; False if it is taken."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, files = _at(spark, path)
+    draft = hadoop.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = files.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    context = hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(draft), files.makeQualified(target), no_overwrite)
+    except Py4JJavaError as problem:
+        files.delete(draft, False)
+        if problem.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 @contextmanager
 def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A scratch folder that is gone after the block."""

@@ -1,10 +1,11 @@
-"""The landing zone: append-only parquet tables and the watermark log."""
+"""The landing zone: parquet tables in generations, and the watermark log."""
 
 from __future__ import annotations
 
 import datetime
 import re
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from pyspark.sql import types as T
 
 from storelake.operators.extract import conformed, epoch, instant, micros, watermark_state
 from storelake.operators.versions import current_rows
-from storelake.session import remove
+from storelake.session import names_in, remove
 from storelake.sources.catalog import CATALOG, LANDED_AT, TENANT, TableSpec, UnknownTable
+from storelake.sources.generations import Generation, GenerationLog, new_segment
 
 WATERMARKS = T.StructType(
     [
@@ -26,10 +28,11 @@ WATERMARKS = T.StructType(
 
 
 class LandingZone(Mapping[str, DataFrame]):
-    """Landed tables by name, all versions, partitioned on disk by tenant.
+    """Landed tables by name, all versions, in segments partitioned by tenant (see ``generations``).
 
     Works on any file system Spark can write; every write is a plain Spark job, so lost
-    tasks are retried and nothing passes through the driver."""
+    tasks are retried and nothing passes through the driver.  Batch loads, streams and compactions
+    commit one generation each: readers see all of a write or nothing of it."""
 
     def __init__(
         self, spark: SparkSession, root: str, specs: Mapping[str, TableSpec] = CATALOG
@@ -48,16 +51,23 @@ class LandingZone(Mapping[str, DataFrame]):
     def path(self, name: str) -> str:
         return f"{self.root}/raw/{name}"
 
-    def stream_path(self, name: str) -> str:
-        """Streams land beside batch loads: a folder per stream and micro-batch."""
-        return f"{self.root}/streams/{name}"
+    def log(self, name: str) -> GenerationLog:
+        return GenerationLog(self.spark, f"{self.root}/generations/{name}")
 
     def __getitem__(self, name: str) -> DataFrame:
-        """All versions: what batch loads and what streams landed."""
+        """All versions, as of the latest generation; later writes do not change the frame."""
+        return self.at(name, self.log(name).latest())
+
+    def at(self, name: str, generation: Generation | int) -> DataFrame:
+        """All versions as of a generation that was not cleared away."""
         schema = self.spec(name).raw_schema
-        folders = self.path(name), self.stream_path(name)
-        read = [self.spark.read.schema(schema).parquet(f).select(*schema.names) for f in folders]
-        return read[0].unionByName(read[1])
+        if isinstance(generation, int):
+            generation = self.log(name).read(generation)
+        folders = [f"{self.path(name)}/{f}" for f in generation.folders()]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        read = self.spark.read.schema(schema).option("basePath", self.path(name))
+        return read.parquet(*folders).select(*schema.names)
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.specs)
@@ -71,27 +81,34 @@ class LandingZone(Mapping[str, DataFrame]):
     # -- writing -----------------------------------------------------------
 
     def create(self) -> LandingZone:
-        """Make missing tables; existing ones keep their rows."""
-        for name, spec in self.specs.items():
-            empty = self.spark.createDataFrame([], spec.raw_schema)
-            for folder, levels in ((self.path(name), []), (self.stream_path(name), ["_stream", "_batch"])):
-                placed = empty.withColumns({level: F.lit("") for level in levels})
-                placed.write.mode("ignore").partitionBy(*levels, TENANT).parquet(folder)
+        """A table without a generation has no rows, so only the watermark log is made."""
         empty = self.spark.createDataFrame([], WATERMARKS)
         empty.write.mode("ignore").partitionBy(TENANT).parquet(self._log_path)
         return self
 
     def registered(self, database: str) -> LandingZone:
-        """``create``, and the batch-landed tables as external tables of a catalog database."""
+        """``create``, and all landed rows, streamed ones too, as views of a catalog database.
+
+        A view reads an external table whose partitions are the visible segments; call again to
+        show a later generation."""
         self.create()
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         for name, spec in self.specs.items():
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.raw_schema.fields)
+            fields = spec.raw_schema.fields
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            shown = ", ".join(f"`{f.name}`" for f in fields)
+            landed = f"`{database}`.`landed_{name}`"
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet "
-                f"PARTITIONED BY (`{TENANT}`) LOCATION '{self.path(name)}'"
+                f"CREATE TABLE IF NOT EXISTS {landed} (`_segment` string, {columns}) USING parquet "
+                f"PARTITIONED BY (`_segment`, `{TENANT}`) LOCATION '{self.path(name)}'"
             )
-            self.spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
+            visible = set(self.log(name).latest().folders())
+            known = {r.partition for r in self.spark.sql(f"SHOW PARTITIONS {landed}").collect()}
+            for action, folders in (("ADD IF NOT EXISTS", visible - known), ("DROP IF EXISTS", known - visible)):
+                for folder in sorted(folders):
+                    where = ", ".join(f"`{k}`='{v}'" for k, v in (part.split("=", 1) for part in folder.split("/")))
+                    self.spark.sql(f"ALTER TABLE {landed} {action} PARTITION ({where})")
+            self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT {shown} FROM {landed}")
         return self
 
     def stamped(self, df: DataFrame, name: str, landed_at: datetime.datetime | None) -> DataFrame:
@@ -103,18 +120,29 @@ class LandingZone(Mapping[str, DataFrame]):
         self, df: DataFrame, name: str, landed_at: datetime.datetime | None = None
     ) -> None:
         """Rows of any tenants (with their tenant column) in one job."""
-        rows = self.stamped(df, name, landed_at)
-        rows.write.mode("append").partitionBy(TENANT).parquet(self.path(name))
+        segment, tenants = self._written(self.stamped(df, name, landed_at), name)
+        self.log(name).commit(lambda g: g.adding(segment, tenants) if tenants else g)
 
     def append_tenant(
         self, df: DataFrame, name: str, tenant: str, landed_at: datetime.datetime | None = None
     ) -> None:
-        """Rows of one tenant, written below its own partition folder.
-
-        Tenants may load at the same time: two jobs appending to one output folder would
-        share, and at commit delete, its temporary files."""
-        rows = self.stamped(df, name, landed_at)
-        rows.write.mode("append").parquet(self._tenant_path(name, tenant))
+        """Rows of one tenant.  Tenants may load at the same time: each job has a segment of its own."""
+        folder = self._tenant_folder(tenant)
+        segment, counted = new_segment(), Observation()
+        rows = self.stamped(df, name, landed_at).observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows.write.parquet(f"{self.path(name)}/_segment={segment}/{folder}")
+        if counted.get["rows"]:
+            self.log(name).commit(lambda g: g.adding(segment, [folder]))
+        else:
+            remove(self.spark, f"{self.path(name)}/_segment={segment}")
+
+    def append_batch(self, df: DataFrame, name: str, stream: str, batch: int) -> None:
+        """A micro-batch of a stream, once: a batch that is replayed after its commit lands nothing."""
+        landed = lambda g: g.batches.get(stream, -1) >= batch
+        if landed(self.log(name).latest()):
+            return
+        segment, tenants = self._written(self.stamped(df, name, None), name)
+        self.log(name).commit(lambda g: g if landed(g) else g.adding(segment, tenants).streamed(stream, batch))
 
     def replace_tenants(
         self,
@@ -123,59 +151,60 @@ class LandingZone(Mapping[str, DataFrame]):
         tenants: Sequence[str],
         landed_at: datetime.datetime,
     ) -> DataFrame:
-        """Full load: the listed tenants hold exactly ``df`` afterwards, others keep theirs.
+        """Full load: the listed tenants hold exactly ``df`` afterwards, whatever way their rows
+        came in; others keep theirs.
 
-        All tenants are written by one job (dynamic partition overwrite).  That mode leaves
-        a tenant alone when its new slice is empty, so tenants without new rows are then
-        overwritten with an empty file.  Returns rows per listed tenant."""
-        mine = F.col(TENANT).isin(list(tenants))
-        written = Observation()
+        All tenants are written by one job and appear by one commit.  Returns rows per listed
+        tenant, counted by the write itself."""
+        folders = {t: self._tenant_folder(t) for t in tenants}
+        counted = Observation()
         each = [F.count_if(F.col(TENANT) == t).alias(f"n{i}") for i, t in enumerate(tenants)]
-        rows = self.stamped(df, name, landed_at).filter(mine).observe(written, *each)
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(TENANT)
-            .parquet(self.path(name))
-        )
-        # Counted by the write itself, one metric per tenant.
-        loaded = {t: written.get[f"n{i}"] for i, t in enumerate(tenants)}
-        for tenant in tenants:
-            if not loaded[tenant]:
-                self._clear(name, tenant)
+        mine = self.stamped(df, name, landed_at).filter(F.col(TENANT).isin(list(tenants)))
+        segment, filled = self._written(mine.observe(counted, *each), name)
+        self.log(name).commit(lambda g: g.replacing(folders.values(), segment, filled))
         return self.spark.createDataFrame(
-            [(t, name, loaded[t]) for t in tenants],
+            [(t, name, counted.get[f"n{i}"]) for i, t in enumerate(tenants)],
             "tenant_id string, table_name string, rows long",
         )
 
     def compact(self, name: str, tenant: str) -> None:
         """Drop superseded versions of one tenant, so that reads stop sorting through them.
 
-        The surviving rows are added as new files, then the files they were read from are
-        removed.  A run that dies in between leaves rows twice, which reads collapse; rows
-        that land meanwhile are in files that are not on the list."""
-        folder = self._tenant_path(name, tenant)
-        fields = [f for f in self.spec(name).raw_schema.fields if f.name != TENANT]
-        landed = self.spark.read.schema(T.StructType(fields)).parquet(folder)
-        old = landed.inputFiles()
-        mine = self.spark.read.schema(landed.schema).parquet(*old).select(F.lit(tenant).alias(TENANT), "*") if old else None
-        if mine is None:
+        Its segments become one; rows that land meanwhile keep their segments, and a full load
+        meanwhile wins (``Conflict``)."""
+        folder = self._tenant_folder(tenant)
+        before = self.log(name).latest()
+        old = before.segments.get(folder, ())
+        if not old:
             return
-        kept = current_rows(mine, self.spec(name)).select(*landed.columns)
-        kept.write.mode("append").parquet(folder)
-        for path in old:
-            self._removed(path)
-
-    def _removed(self, path: str) -> None:
-        remove(self.spark, path)
-
-    def _clear(self, name: str, tenant: str) -> None:
-        fields = [f for f in self.spec(name).raw_schema.fields if f.name != TENANT]
-        empty = self.spark.createDataFrame([], T.StructType(fields))
-        empty.write.mode("overwrite").parquet(self._tenant_path(name, tenant))
-
-    def _tenant_path(self, name: str, tenant: str) -> str:
-        return f"{self.path(name)}/{TENANT}={self._folder_name(tenant)}"
+        mine = self.at(name, replace(before, segments={folder: old}))
+        segment, _ = self._written(current_rows(mine, self.spec(name)).select(*mine.columns), name)
+        self.log(name).commit(lambda g: g.merging(folder, old, segment))
+
+    def clear(self, name: str, keep: int = 2, age: datetime.timedelta = datetime.timedelta(days=1)) -> list[str]:
+        """Delete segments that none of the last ``keep`` generations shows, what dead writers left
+        included, and older generations.  Nothing younger than ``age`` goes: it may be being written,
+        or read."""
+        log = self.log(name)
+        numbers = log.numbers()
+        shown = {s for n in numbers[-keep:] for segments in log.read(n).segments.values() for s in segments}
+        before = int((datetime.datetime.now(datetime.timezone.utc) - age).timestamp() * 1000)
+        found = names_in(self.spark, self.path(name), before)
+        gone = [f for f in found if f.startswith("_segment=") and f.removeprefix("_segment=") not in shown]
+        for folder in gone:
+            remove(self.spark, f"{self.path(name)}/{folder}")
+        log.forget(numbers[:-keep])
+        return gone
+
+    def _written(self, rows: DataFrame, name: str) -> tuple[str, list[str]]:
+        """Rows as a new segment; the tenants' folders in it."""
+        segment = new_segment()
+        folder = f"{self.path(name)}/_segment={segment}"
+        rows.write.option("partitionOverwriteMode", "static").partitionBy(TENANT).parquet(folder)
+        return segment, sorted(f for f in names_in(self.spark, folder) if f.startswith(f"{TENANT}="))
+
+    def _tenant_folder(self, tenant: str) -> str:
+        return f"{TENANT}={self._folder_name(tenant)}"
 
     @staticmethod
     def _folder_name(tenant: str) -> str:

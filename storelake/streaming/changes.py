@@ -26,21 +26,14 @@ def file_changes(
 def ingest_available(changes: DataFrame, zone: LandingZone, name: str, checkpoint: str) -> None:
     """Land everything that has arrived since the last run, then stop.
 
-    Each micro-batch owns the folder of its stream and number, and overwrites it: a batch
-    that is replayed after a crash lands once, and streams cannot touch each other's rows.
-    The stream's id is part of its checkpoint.  Without that checkpoint it is another
+    Each micro-batch is one generation of the table, which also says that the batch is in: a
+    batch that is replayed after a crash lands once, whether the crash was before or after its
+    commit.  The stream's id is part of its checkpoint.  Without that checkpoint it is another
     stream, which lands what is still there again; reads collapse the repeats by version."""
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stream = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
-        (
-            zone.stamped(batch, name, None)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(TENANT)
-            .parquet(f"{zone.stream_path(name)}/_stream={stream}/_batch={batch_id}")
-        )
+        stream = batch.sparkSession.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        zone.append_batch(batch, name, stream, batch_id)
 
     query = (
         changes.writeStream.foreachBatch(land)

@@ -12,6 +12,7 @@ from shop import raw_table, rows, ts
 from storelake.operators import extract, loads
 from storelake.session import scratch
 from storelake.sources.catalog import CATALOG, spec_of
+from storelake.sources.generations import GenerationLog
 from storelake.sources.landing import LandingZone
 from storelake.sources.readers import Tenant, parquet_source, read_tenants
 
@@ -227,14 +228,14 @@ def test_an_interrupted_compaction_loses_nothing(spark, zone, monkeypatch):
     for name, day in (("v1", "2024-01-01"), ("v2", "2024-01-02")):
         zone.append(suppliers(spark, ("a", 1, name, day), ("a", 2, "other", day)), "suppliers")
 
-    def dies(path):
+    def dies(log, change):
         raise OSError("gone")
 
     with monkeypatch.context() as m:
-        m.setattr(zone, "_removed", dies)
+        m.setattr(GenerationLog, "commit", dies)
         with pytest.raises(OSError):
             zone.compact("suppliers", "a")
-    assert landed(zone) == [("a", 1, "v2"), ("a", 2, "other")]
+    assert zone["suppliers"].count() == 4
     zone.compact("suppliers", "a")
     assert landed(zone) == [("a", 1, "v2"), ("a", 2, "other")]
     assert zone["suppliers"].count() == 2
@@ -248,12 +249,18 @@ def test_scratch_is_empty_after_its_block(spark):
         spark.read.parquet(path)
 
 
-def test_catalog_tables_over_the_landed_folders(spark, zone):
+def test_catalog_tables_show_all_landed_rows(spark, zone):
     zone.append(suppliers(spark, ("a", 1, "x", "2024-01-01")), "suppliers")
+    zone.append_batch(suppliers(spark, ("a", 2, "streamed", "2024-01-01"), ("b", 1, "y", "2024-01-01")), "suppliers", "s", 0)
+    zone.registered("pos_test")
+    shown = spark.table("pos_test.suppliers")
+    assert shown.columns == spec_of("suppliers").raw_schema.names and shown.count() == 3
+    assert spark.table("pos_test.stores").count() == 0
+    loads.full_load(zone, {"suppliers": suppliers(spark, ("a", 9, "only", "2024-01-02"))}, ["a"])
     zone.registered("pos_test")
-    assert spark.table("pos_test.suppliers").count() == 1
+    assert sorted(r.supplier_name for r in spark.table("pos_test.suppliers").collect()) == ["only", "y"]
     spark.sql("DROP DATABASE pos_test CASCADE")
-    assert landed(zone) == [("a", 1, "x")]
+    assert landed(zone) == [("a", 9, "only"), ("b", 1, "y")]
 
 
 # The repeated hour of an autumn night: 05:30 and 06:10 UTC are both 01:xx in New York.
@@ -264,6 +271,7 @@ from pyspark.sql import functions as F
 from storelake.operators import loads
 from storelake.session import local_session
 from storelake.sources.catalog import CATALOG
+from storelake.sources.generations import GenerationLog
 from storelake.sources.landing import LandingZone
 spark = local_session(2, "zones", **{{"spark.sql.warehouse.dir": {folder!r}}})
 spec = CATALOG["suppliers"]
@@ -302,4 +310,4 @@ def test_tenant_config(spark, tmp_path):
 
 def test_tenant_ids_must_be_folder_names(zone):
     with pytest.raises(ValueError):
-        zone._tenant_path("suppliers", "../x")
+        zone.append_tenant(suppliers(zone.spark), "suppliers", "../x")
