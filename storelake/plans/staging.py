@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from storelake.functions import date_key, surrogate_key
 from storelake.operators.versions import current_rows
 from storelake.plans.warehouse import Warehouse, model
+from storelake.sources.bases import Bases
 from storelake.sources.catalog import spec_of
 
 # Reference tables sit on the optional side of left joins; declaring their keys
@@ -16,6 +17,8 @@ _LOOKUPS = {"products", "stores", "employees"}
 
 
 def _current(wh: Warehouse, table: str) -> DataFrame:
+    if isinstance(wh.raw, Bases) and table not in _LOOKUPS:
+        return wh.raw.current(table)
     return current_rows(wh.raw[table], spec_of(table), declare_unique=table in _LOOKUPS)
 
 
