@@ -219,4 +219,6 @@ def oracle_sql() -> dict[str, str]:
     bodies = {model: shown(model) for model in MODEL_PARTS if model != "dim_loyalty_tier"}
     for group in (QUESTIONS, LOAD_ANSWERS, CHECK_ANSWERS, RESHAPE_ANSWERS, RULE_ANSWERS):
         bodies |= group
+    # A refreshed fact is the fact.
+    bodies |= {f"refresh_{fact}": bodies[fact] for fact in ("int_sales_enriched", "fact_sales", "fact_inventory_movement")}
     return {name: with_parts(PARTS, body) for name, body in bodies.items()}

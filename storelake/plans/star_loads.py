@@ -11,6 +11,8 @@ from storelake.operators import extract, loads
 from storelake.operators.checks import union_all
 from storelake.operators.versions import latest_version
 from storelake.plans.quality import on_grid, source_counts
+from storelake.plans.refresh import REFRESHED, Refresh
+from storelake.plans.warehouse import Warehouse
 from storelake.session import scratch_path
 from storelake.sources.bases import Bases
 from storelake.sources.catalog import CATALOG, TableSpec, columns_of, spec_of
@@ -186,6 +188,22 @@ def incremental_partial(star: RetailStar) -> DataFrame:
     )
 
 
+def _refreshed(name: str):
+    """A fact stored as of 1998 and refreshed with all versions since then."""
+
+    def query(star: RetailStar) -> DataFrame:
+        cut = F.lit("1998-01-01").cast("timestamp")
+        before = Warehouse({t: df.filter(F.col("updated_at") < cut) for t, df in star.items()})
+        needed = {"int_sales_enriched", "fact_promotion_usage", name}
+        before.materialize(scratch_path(star.spark, "before"), names=needed)
+        changes = {t: df.filter(F.col("updated_at") >= cut) for t, df in star.items()}
+        work = Refresh(before, star, changes)
+        return getattr(work, name)().drop("dbt_loaded_at")
+
+    query.__name__ = f"refresh_{name}"
+    return query
+
+
 def load_audit(star: RetailStar) -> DataFrame:
     """Rows per tenant and table of all twelve tables, with totals."""
     return extract.load_audit(on_grid(source_counts(star), TENANTS, list(CATALOG), "rows"))
@@ -228,5 +246,6 @@ STAR_LOADS = {
         load_audit,
         stream_incremental_load,
         stream_latest_version,
+        *map(_refreshed, REFRESHED),
     )
 } | {"latest_version": latest_events}

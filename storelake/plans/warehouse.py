@@ -75,6 +75,11 @@ class Warehouse:
         self.stored.update(stored)
         self._built = dict(self.stored)
 
+    def over(self, frames: Mapping[str, DataFrame]) -> Warehouse:
+        """This warehouse with given frames for some models; those above are composed from them."""
+        self._keep(frames)
+        return self
+
     def replace(self, name: str, df: DataFrame) -> Warehouse:
         """The same warehouse with one model substituted; models above it follow, other stored
         ones are carried on."""

@@ -15,7 +15,7 @@ from storelake.operators.extract import conformed, epoch, instant, micros, water
 from storelake.operators.versions import current_rows
 from storelake.session import names_in, remove
 from storelake.sources.catalog import CATALOG, LANDED_AT, TENANT, TableSpec, UnknownTable
-from storelake.sources.generations import Generation, GenerationLog, new_segment
+from storelake.sources.generations import Conflict, Generation, GenerationLog, new_segment
 
 WATERMARKS = T.StructType(
     [
@@ -69,6 +69,19 @@ class LandingZone(Mapping[str, DataFrame]):
         read = self.spark.read.schema(schema).option("basePath", self.path(name))
         return read.parquet(*folders).select(*schema.names)
 
+    def since(self, name: str, earlier: Generation | int) -> DataFrame:
+        """The rows that landed after a generation.  A tenant that was replaced or compacted meanwhile
+        (``Conflict``) has lost what it had: rebuild from all its rows."""
+        if isinstance(earlier, int):
+            earlier = self.log(name).read(earlier) if earlier else Generation()
+        now, new = self.log(name).latest(), {}
+        for tenant in {**earlier.segments, **now.segments}:
+            had, has = earlier.segments.get(tenant, ()), now.segments.get(tenant, ())
+            if not set(had) <= set(has):
+                raise Conflict(f"{name}, {tenant}: replaced since generation {earlier.number}")
+            new[tenant] = tuple(s for s in has if s not in had)
+        return self.at(name, replace(now, segments={t: s for t, s in new.items() if s}))
+
     def __iter__(self) -> Iterator[str]:
         return iter(self.specs)
 
