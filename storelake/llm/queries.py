@@ -68,7 +68,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     prepared(spark)
-    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"), spans=False)
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
