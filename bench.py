@@ -29,6 +29,13 @@ RAW_QUERIES = [
     *QUESTIONS,
     "incremental_extract",
     "header_total_rollup",
+    "dq_not_null",
+    "dq_gate",
+    "pivot_store_month",
+    "incremental_merge",
+    "current_over_base",
+    "stream_latest_version",
+    "refresh_fact_sales",
 ]
 
 
