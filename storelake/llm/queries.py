@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storelake.llm import chat, decontam, filteraudit, lm, mixing, pii, repair, robust, sharding, simhash, tokencount, toxicity, urlfilter
 from storelake.llm.common import prepared, table
+from storelake.session import written
 
 
 def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,8 +58,9 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
-    counts = tokencount.token_counts(table(prepared(spark), folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
-    return counts.withColumn("over_limit", F.col("n_tokens") > tokencount.LIMIT)
+    docs, model = table(prepared(spark), folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    counts = written(tokencount.token_counts(docs, model, stored=True), "prefix-counts")
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > tokencount.LIMIT).alias("over_limit"), "fitting_chars")
 
 
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:

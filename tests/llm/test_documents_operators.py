@@ -1,6 +1,7 @@
 """Sharding, SimHash, quality rules, token counts, URL filters against brute force."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -284,10 +285,55 @@ def test_count_table(llm):
     counter = tokencount.PrefixCounter(MODEL)
     want = sorted((repr(r[0]), len((r[1] or "").encode()), len(counter.model.encode(r[1] or ""))) for r in rows)
     assert sorted((repr(r.doc_id), r.n_bytes, r.n_tokens) for r in out) == want
-    assert all((r.cut_tokens[-1] if r.cut_tokens else 0) == r.n_tokens for r in out)
+    assert all(sum(r.part_tokens) == r.n_tokens for r in out)
+    sizes = sorted((repr(r.doc_id), sum(r.part_chars) - bool(r.part_chars)) for r in out)
+    assert sizes == sorted((repr(r[0]), len(r[1] or "")) for r in rows)
     assert tokencount.token_counts(documents(llm, []), MODEL).count() == 0
 
 
+def test_budgets_at_cuts_come_from_stored_counts(llm):
+    rows = odd_rows() + [(100 + i, t, None, None, None) for i, t in enumerate(odd_texts(random.Random(14), 60))]
+    stored = tokencount.token_counts(documents(llm, rows), MODEL, stored=True)
+    counter = tokencount.PrefixCounter(MODEL)
+    cuts = {}
+    for r in rows:
+        _, ends, tokens = counter.at_cuts(r[1] or "")
+        cuts.setdefault(repr(r[0]), []).append(list(zip(ends.tolist(), tokens.tolist())))
+    for limit in (0, 1, 7, 30):
+        for r in tokencount.fitting_cuts(stored, limit).collect():
+            want = [max([c for c in mine if c[0] > 0 and c[1] <= limit], default=(0, 0)) for mine in cuts[repr(r.doc_id)]]
+            assert (r.cut_chars, r.cut_tokens) in want
+    assert tokencount.fitting_cuts(tokencount.token_counts(documents(llm, []), MODEL, stored=True), 5).count() == 0
+
+
+def test_a_megabyte_without_blanks_in_seconds():
+    rng = random.Random(15)
+    counter = tokencount.PrefixCounter(MODEL)
+    for text in (
+        "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(340_000)),
+        "".join(rng.choice("abcdeéfghiABC.,-日") for _ in range(400_000)),
+        "a" * 400_000,
+    ):
+        begun = time.process_time()
+        parts, ends, tokens = counter.at_cuts(text)
+        fits = counter.fitting_chars(parts, ends, tokens, tokencount.LIMIT)
+        table = counter.table(parts[0])
+        assert time.process_time() - begun < 60 and len(parts) == 1
+        assert fits == max(i for i in range(len(text) + 1) if table[i + 1] <= tokencount.LIMIT)
+        for at in (1, 2, fits, fits + 1, *rng.sample(range(len(text)), 3), len(text)):
+            assert counter.prefix_tokens(text, at) == len(counter.model.encode(text[:at]))
+
+
+def test_recurrence_equals_encoded_prefixes():
+    counter = tokencount.PrefixCounter(MODEL)
+    rng = random.Random(16)
+    for _ in range(300):
+        part = "".join(rng.choice(["th", "e", "in", "g", "é", "日", "𝄞", "a", "aa", ".", "<s>", "Q"]) for _ in range(rng.randint(1, 14)))
+        for given in (tokencount.BLANK * rng.randint(1, 3) + part, "\n" + part):
+            found = counter._recurrence(given)
+            assert found == [0] + counter._encoded([given[:i] for i in range(1, len(given) + 1)])
+
+
 # -- URL filters ---------------------------------------------------------------------------------
 
 
