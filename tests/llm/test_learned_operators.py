@@ -48,6 +48,24 @@ def test_gradients_equal_differences():
             assert seen[name][at] == pytest.approx((up - down) / (2 * eps), rel=0.05, abs=0.02)
 
 
+def test_every_training_token_takes_a_step_and_gain_holds_on_new_texts():
+    rng = np.random.default_rng(5)
+    follow = rng.integers(0, 64, (64, 2))
+
+    def text(n):
+        out = [int(rng.integers(64))]
+        while len(out) < n:
+            out.append(int(follow[out[-1], rng.integers(2)]))
+        return np.array(out)
+
+    texts = [text(int(n)) for n in rng.integers(0, 200, 800)] + [np.zeros(0, np.int64), text(5000)]
+    model = gru.Gru.start(np.bincount(np.concatenate(texts), minlength=64)[:64].astype(float), np.full(4, 1.0), 6)
+    new = [text(300) for _ in range(20)]
+    before = model.score(new).sum()
+    assert model.train(texts, gru.Adam(lm.RATE)) == sum(map(len, texts))
+    assert model.score(new).sum() > before + 0.3 * 20 * 300
+
+
 def test_probabilities_sum_to_one_and_state_is_carried():
     model = gru.Gru.start(np.arange(1.0, 65), np.full(4, 9.0), 2, hidden=4)
     rng = np.random.default_rng(3)
