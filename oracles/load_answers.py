@@ -54,6 +54,24 @@ SELECT tenant_id, table_name, count(*) AS "rows", max(updated_at) AS newest
 FROM ({_STAMPED_ROWS}) AS loaded
 WHERE tenant_id = 'tenant_01' OR (tenant_id = 'tenant_02' AND updated_at < TIMESTAMP '1998-01-01')
 GROUP BY ALL""",
+    "row_differences": """
+SELECT * FROM (WITH source AS (
+    SELECT tenant_id, item_id, transaction_id, product_id, quantity, unit_price, discount, subtotal, created_at, updated_at
+    FROM raw_transaction_items
+), landed AS (
+    SELECT * REPLACE (CASE WHEN item_id % 5009 = 31 THEN -item_id ELSE item_id END AS item_id,
+                      CASE WHEN item_id % 5003 = 29 THEN quantity + 1 ELSE quantity END AS quantity)
+    FROM source WHERE item_id % 4999 <> 17
+), odd AS (
+    SELECT DISTINCT tenant_id, item_id
+    FROM ((SELECT * FROM source EXCEPT ALL SELECT * FROM landed) UNION ALL (SELECT * FROM landed EXCEPT ALL SELECT * FROM source))
+), counted AS (
+    SELECT tenant_id, item_id,
+           (SELECT count(*) FROM source s WHERE s.tenant_id = odd.tenant_id AND s.item_id = odd.item_id) AS left_rows,
+           (SELECT count(*) FROM landed t WHERE t.tenant_id = odd.tenant_id AND t.item_id = odd.item_id) AS right_rows
+    FROM odd
+)
+SELECT *, CASE WHEN right_rows = 0 THEN 'lost' WHEN left_rows = 0 THEN 'extra' ELSE 'changed' END AS kind FROM counted) AS named""",
     "incremental_extract": """
 SELECT st.tenant_id, st.table_name, count(mv.updated_at) AS "rows",
        greatest(max(st.since), ifnull(max(mv.updated_at), max(st.since))) AS watermark
