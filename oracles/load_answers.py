@@ -91,6 +91,8 @@ SELECT tenant_id, table_name, watermark FROM newest_stamps
 UNION ALL
 SELECT DISTINCT tenant_id, 'customers', TIMESTAMP '1970-01-01' FROM newest_stamps""",
     "incremental_merge": """
+SELECT event_type AS tenant_id, user_id, event_id, ts, value, props FROM latest_per_user""",
+    "stream_keyed_upsert": """
 SELECT event_type AS tenant_id, user_id, event_id, ts, value, props FROM latest_per_user""",
     "current_over_base": """
 SELECT event_type AS tenant_id, user_id, event_id, ts, value, props FROM latest_per_user""",

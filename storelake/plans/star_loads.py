@@ -19,6 +19,7 @@ from storelake.sources.catalog import CATALOG, TableSpec, columns_of, spec_of
 from storelake.sources.landing import LandingZone
 from storelake.sources.retail_star import TENANTS, RetailStar, star_schema
 from storelake.streaming.changes import file_changes, ingest_available, streamed
+from storelake.streaming.upserts import upsert_available
 
 # The event types act as tenants of a change log keyed by user.
 EVENT_TENANTS = ["click", "error", "purchase", "signup", "view"]
@@ -245,6 +246,20 @@ def stream_latest_version(star: RetailStar) -> DataFrame:
     return latest_version(landed, ["event_type", "user_id"], "ts", ["event_id"])
 
 
+def stream_keyed_upsert(star: RetailStar) -> DataFrame:
+    """Newest event per user through keyed state: the later half of the log comes first, the older
+    half by the same checkpoint after it, where it only adds users the later half lacks."""
+    spark = star.spark
+    events = tenant_union(star)
+    half = F.lit("2024-01-15").cast("timestamp")
+    zone = LandingZone(spark, scratch_path(spark, "upsert"), {"events": EVENT_SPEC}).create()
+    arrived, checkpoint = scratch_path(spark, "upsert-arrived"), scratch_path(spark, "upsert-state")
+    for part in (events.filter(F.col("ts") >= half), events.filter(F.col("ts") < half)):
+        part.write.mode("append").parquet(arrived)
+        upsert_available(file_changes(spark, arrived, events.schema), zone, "events", checkpoint)
+    return zone.current("events").drop("_extracted_at")
+
+
 STAR_LOADS = {
     fn.__name__: fn
     for fn in (
@@ -261,6 +276,7 @@ STAR_LOADS = {
         row_differences,
         stream_incremental_load,
         stream_latest_version,
+        stream_keyed_upsert,
         *map(_refreshed, REFRESHED),
     )
 } | {"latest_version": latest_events}
