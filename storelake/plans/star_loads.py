@@ -16,6 +16,7 @@ from storelake.plans.warehouse import Warehouse
 from storelake.session import scratch_path
 from storelake.sources.bases import Bases
 from storelake.sources.catalog import CATALOG, TableSpec, columns_of, spec_of
+from storelake.sources.changes import tenant_changes
 from storelake.sources.landing import LandingZone
 from storelake.sources.retail_star import TENANTS, RetailStar, star_schema
 from storelake.streaming.changes import file_changes, ingest_available, streamed
@@ -260,6 +261,20 @@ def stream_keyed_upsert(star: RetailStar) -> DataFrame:
     return zone.current("events").drop("_extracted_at")
 
 
+def stream_tenant_changes(star: RetailStar) -> DataFrame:
+    """Newest event per user through the source whose offsets are watermarks: half of the log is
+    exported and streamed, then the rest, from the same checkpoint."""
+    spark = star.spark
+    events = tenant_union(star)
+    half = F.lit("2024-01-15").cast("timestamp")
+    zone = LandingZone(spark, scratch_path(spark, "changes"), {"events": EVENT_SPEC}).create()
+    exported, checkpoint = scratch_path(spark, "exported"), scratch_path(spark, "changes-state")
+    for part in (events.filter(F.col("ts") < half), events.filter(F.col("ts") >= half)):
+        part.write.mode("append").partitionBy("tenant_id").parquet(exported)
+        ingest_available(tenant_changes(spark, exported, EVENT_SPEC), zone, "events", checkpoint)
+    return zone.current("events").drop("_extracted_at")
+
+
 STAR_LOADS = {
     fn.__name__: fn
     for fn in (
@@ -277,6 +292,7 @@ STAR_LOADS = {
         stream_incremental_load,
         stream_latest_version,
         stream_keyed_upsert,
+        stream_tenant_changes,
         *map(_refreshed, REFRESHED),
     )
 } | {"latest_version": latest_events}
