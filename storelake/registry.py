@@ -14,6 +14,7 @@ from storelake.plans.questions import QUESTIONS
 from storelake.plans.reshapes import RESHAPES
 from storelake.plans.rules import RULES
 from storelake.plans.star_loads import STAR_LOADS
+from storelake.plans.summaries import SUMMARIES
 from storelake.plans.warehouse import MODELS, Warehouse
 from storelake.session import apply_settings
 from storelake.sources.retail_star import RetailStar
@@ -60,6 +61,6 @@ def registered() -> dict[str, Query]:
     # The constant tier table reads no table; its members are shown instead (see AUDITS).
     found: dict[str, Query] = {name: _over_star(fn) for name, fn in STAR_LOADS.items()}
     found |= {name: _model(name) for name in MODELS if name != "dim_loyalty_tier"}
-    for group in (QUESTIONS, AUDITS, RESHAPES, RULES):
+    for group in (QUESTIONS, AUDITS, RESHAPES, RULES, SUMMARIES):
         found |= {name: _over_warehouse(fn) for name, fn in group.items()}
     return found
