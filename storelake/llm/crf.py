@@ -1,29 +1,54 @@
 """A linear-chain conditional random field with two states, for tagging spans.
 
-Every token has a level of evidence, 0 for almost all.  The potential of a token in the marked
-state is its bias plus weights for its own level and its neighbours'; transitions have four
-weights.  Tokens out of reach of any evidence have one constant potential, so the chain between
+Every token has an observation, 0 for almost all: a code of three levels of evidence, for the whole
+word, its beginning and its end (``code``; a code below ``LEVELS`` is a word's level alone).  The
+potential of a token in the marked state is its bias plus weights for its own three levels and
+for the highest level of each neighbour; transitions have four weights.  Tokens out of reach of any evidence have one constant potential, so the chain between
 two tokens with evidence is a matrix power, and inference costs what the evidence costs.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 
 LEVELS = 8
+# Training works on windows of this many tokens, so many at once: its memory has this bound.
+WINDOW, WINDOWS_AT_ONCE = 1024, 256
+
+# The three levels and the highest of them, by code.
+_CODES = np.arange(LEVELS**3)
+_WORD, _BEGIN, _END = _CODES % LEVELS, _CODES // LEVELS % LEVELS, _CODES // LEVELS**2
+_TOP = np.maximum(np.maximum(_WORD, _BEGIN), _END)
+
+
+def code(word: int, begin: int = 0, end: int = 0) -> int:
+    return word + LEVELS * begin + LEVELS**2 * end
+
+
+def highest(observation: int) -> int:
+    """The highest of a code's three levels."""
+    return int(_TOP[observation])
 
 
 @dataclass
 class Crf:
-    """bias, own[level], before[level], after[level], change[from, to]; level 0 has weight 0."""
+    """bias, own[level], before[level], after[level], change[from, to], and own weights for the
+    levels of the word's beginning and end; level 0 has weight 0."""
 
     bias: float
     own: np.ndarray
     before: np.ndarray
     after: np.ndarray
     change: np.ndarray
+    begin: np.ndarray = field(default_factory=lambda: np.zeros(LEVELS))
+    end: np.ndarray = field(default_factory=lambda: np.zeros(LEVELS))
+
+    def __post_init__(self):
+        self.by_own = self.own[_WORD] + self.begin[_BEGIN] + self.end[_END]
+        self.by_left, self.by_right = self.before[_TOP], self.after[_TOP]
 
     @staticmethod
     def start() -> Crf:
@@ -34,7 +59,7 @@ class Crf:
         left = np.zeros_like(levels)
         right = np.zeros_like(levels)
         left[..., 1:], right[..., :-1] = levels[..., :-1], levels[..., 1:]
-        return self.bias + self.own[levels] + self.before[left] + self.after[right]
+        return self.bias + self.by_own[levels] + self.by_left[left] + self.by_right[right]
 
     def marginals(self, places: np.ndarray, levels: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Tokens in reach of evidence and the probability that each is marked.
@@ -46,7 +71,7 @@ class Crf:
         known = dict(zip(places.tolist(), levels.tolist()))
         active = sorted({t for p in known for t in (p - 1, p, p + 1) if 0 <= t < length})
         u = [
-            self.bias + self.own[known.get(t, 0)] + self.before[known.get(t - 1, 0)] + self.after[known.get(t + 1, 0)]
+            self.bias + self.by_own[known.get(t, 0)] + self.by_left[known.get(t - 1, 0)] + self.by_right[known.get(t + 1, 0)]
             for t in active
         ]
         phi = [np.array([1.0, np.exp(min(x, 60.0))]) for x in u]
@@ -119,34 +144,47 @@ def _gradient(model: Crf, levels: np.ndarray, tags: np.ndarray, lengths: np.ndar
     diff = np.where(inside, tags - marked, 0.0)
     left, right = np.zeros_like(levels), np.zeros_like(levels)
     left[:, 1:], right[:, :-1] = levels[:, :-1], levels[:, 1:]
-    by = lambda at: np.bincount(at.ravel(), diff.ravel(), LEVELS)
+    by_code = lambda at: np.bincount(at.ravel(), diff.ravel(), len(_CODES))
+    by = lambda at, part: np.bincount(part, by_code(at), LEVELS)
     both = inside[:, 1:]
     seen = np.zeros((2, 2))
     np.add.at(seen, (tags[:, :-1][both], tags[:, 1:][both]), 1)
-    return diff.sum(), by(levels), by(left), by(right), seen - pairs
+    sides = by(left, _TOP), by(right, _TOP)
+    return diff.sum(), by(levels, _WORD), *sides, seen - pairs, by(levels, _BEGIN), by(levels, _END)
+
+
+def _windows(sequences: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(levels, tags, lengths) of windows of like length, padded; every token is in one window."""
+    cut = [(x[i : i + WINDOW], y[i : i + WINDOW]) for x, y in sequences for i in range(0, len(x), WINDOW)]
+    cut.sort(key=lambda s: -len(s[0]))
+    for at in range(0, len(cut), WINDOWS_AT_ONCE):
+        part = cut[at : at + WINDOWS_AT_ONCE]
+        lengths = np.array([len(x) for x, _ in part])
+        levels, tags = np.zeros((2, len(part), lengths[0]), dtype=np.int16)
+        for i, (x, y) in enumerate(part):
+            levels[i, : len(x)], tags[i, : len(y)] = x, y
+        yield levels, tags, lengths
 
 
 def trained(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 40, rate: float = 2.0, decay: float = 1e-3) -> Crf:
     """Fit by adaptive gradient ascent with L2 decay; ``sequences``: (levels, tags) per text."""
     model = Crf.start()
-    sequences = sorted((s for s in sequences if len(s[0])), key=lambda s: -len(s[0]))
+    sequences = [s for s in sequences if len(s[0])]
     if not sequences:
         return model
-    lengths = np.array([len(s[0]) for s in sequences])
-    levels = np.zeros((len(sequences), lengths[0]), dtype=np.int64)
-    tags = np.zeros_like(levels)
-    for i, (x, y) in enumerate(sequences):
-        levels[i, : len(x)], tags[i, : len(y)] = x, y
+    batches = list(_windows(sequences))
     flat = lambda g: np.concatenate([np.ravel(x) for x in g])
-    theta = flat((model.bias, model.own, model.before, model.after, model.change))
+    theta = flat((model.bias, model.own, model.before, model.after, model.change, model.begin, model.end))
+    ends = np.cumsum([1, LEVELS, LEVELS, LEVELS, 4, LEVELS])
     fixed = np.zeros(len(theta), dtype=bool)
-    fixed[[1, 1 + LEVELS, 1 + 2 * LEVELS]] = True
+    fixed[ends[[0, 1, 2, 4, 5]]] = True
     squares = np.full(len(theta), 1e-6)
     for _ in range(rounds):
-        g = flat(_gradient(model, levels, tags, lengths)) / len(sequences) - decay * theta
+        total = sum(flat(_gradient(model, *batch)) for batch in batches)
+        g = total / len(sequences) - decay * theta
         g[fixed] = 0
         squares += g * g
         theta = theta + rate * g / np.sqrt(squares)
-        parts = np.split(theta[1:], [LEVELS, 2 * LEVELS, 3 * LEVELS])
-        model = Crf(float(theta[0]), parts[0], parts[1], parts[2], parts[3].reshape(2, 2))
+        bias, own, before, after, change, begin, end = np.split(theta, ends)
+        model = Crf(float(bias[0]), own, before, after, change.reshape(2, 2), begin, end)
     return model

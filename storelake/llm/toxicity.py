@@ -1,21 +1,23 @@
 """Toxicity by a linear-chain CRF over labelled tokens.
 
 Training labels are per document, so tokens are labelled from them: a token of a toxic document
-is toxic when its word is evidence for toxicity.  Evidence is the lower bound of the word's log
+is toxic when its word, or the word's beginning or end (``AFFIX`` bytes of a longer word), is evidence
+for toxicity.  Evidence is the lower bound of the log
 odds, counted over all labelled training documents of different content (copies of the
 same words share a signature and count once), in ``LEVELS`` steps.  The CRF learns from those token labels, with
-every token of a clean document labelled clean.  A document's score is a logistic function of
+every token of a clean document labelled clean; it weighs the three kinds of evidence and the neighbours'.  A document's score is a logistic function of
 the forward-backward marginals: the expected number of toxic tokens and the largest marginal.
 
 Word statistics cover all labelled training rows.  The CRF and the logistic function are fitted
-on at most ``FIT_ROWS`` whole documents of either label (the smallest seeded hashes), and the
-evidence keeps the ``MOST_WORDS`` strongest words.
+on at most ``FIT_ROWS`` whole documents of either label (the smallest seeded hashes) of at most
+``FIT_TOKENS`` tokens each, and the evidence keeps the ``MOST_WORDS`` strongest words and affixes.
 
 Defined results
     null or empty text   no tokens; the score of a text without evidence
     no usable labels     score 0 for all
     conflicting labels   a document labelled twice counts under both
-    very long text       scored whole; the cost follows its evidence
+    very long text       scored whole; the cost follows its evidence.  Beyond FIT_TOKENS it counts as
+                         evidence, but the tagger is not fitted on it
     repeated rows        rows of their own; they share one vote as evidence
     empty table          no rows
     clashing columns     only doc_id, text, labels.doc_id and labels.toxic are read
@@ -35,14 +37,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelake.llm.common import id_bucket
-from storelake.llm.crf import LEVELS, Crf, trained
+from storelake.llm.crf import LEVELS, Crf, code, highest, trained
 from storelake.session import written
 
 FOLDS, HELD_FOLD = 3, 1
 CUT = 0.7
 FIT_ROWS = 300
+FIT_TOKENS = 20_000
 MOST_WORDS = 20_000
-LEAST_EVIDENCE = 1.5
+LEAST_EVIDENCE, LEAST_AFFIX_EVIDENCE = 1.5, 2.25
+AFFIX = 4
+LEAST_MARK = 2
+# Words whose observation is remembered at once by a task.
+REMEMBERED = 200_000
 SEED = 5
 PLAIN = bytes(ord(chr(i).lower()) if i < 128 and chr(i).isalpha() else (32 if i < 128 else i) for i in range(256))
 
@@ -57,9 +64,36 @@ def signature(words: list[bytes]) -> int:
     return xxhash.xxh64_intdigest(b" ".join(words), SEED) - (1 << 63)
 
 
+def affixes(word: bytes) -> tuple[bytes, ...]:
+    """Beginning and end of a word longer than ``AFFIX``; the marks ^ and $ occur in no token."""
+    return (b"^" + word[:AFFIX], b"$" + word[-AFFIX:]) if len(word) > AFFIX else ()
+
+
+class Observations(dict):
+    """A word's observation (``crf.code``) from the evidence, remembered by word."""
+
+    def __init__(self, evidence: dict[bytes, int]):
+        self.evidence = evidence
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = code(*(self.evidence.get(k, 0) for k in (word, *affixes(word))))
+        return found
+
+    def __reduce__(self):
+        return Observations, (self.evidence,)
+
+    def placed(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """Tokens with evidence: their places and observations."""
+        seen = [self[w] for w in words]
+        places = [i for i, x in enumerate(seen) if x]
+        return places, [seen[i] for i in places]
+
+
 @dataclass
 class Model:
-    evidence: dict[bytes, int]
+    observations: Observations
     crf: Crf
     weights: tuple[float, float, float]
 
@@ -75,9 +109,7 @@ class Model:
 
     def document(self, text: bytes | None) -> tuple[float, list[int], list[int], int]:
         words = tokens(text)
-        known = self.evidence
-        places = [i for i, w in enumerate(words) if w in known]
-        levels = [known[words[i]] for i in places]
+        places, levels = self.observations.placed(words)
         return self.score(self.features(places, levels, len(words))), places, levels, len(words)
 
     def spans(self, text: bytes, places, levels, length, cut: float = 0.5) -> list[dict]:
@@ -110,15 +142,18 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [signature(tokens(t)) for t in batch["text"].cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "signature": pa.array(found, pa.int64())})
+        rows = [tokens(t) for t in batch["text"].cast(pa.binary()).to_pylist()]
+        found = {"signature": pa.array(map(signature, rows), pa.int64()), "n": pa.array(map(len, rows), pa.int64())}
+        yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"]} | found)
 
 
 def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of the rows whose text has the wanted signature."""
+    """Distinct words and affixes of the rows whose text has the wanted signature."""
     for batch in batches:
         rows = [tokens(t) for t in batch["text"].cast(pa.binary()).to_pylist()]
-        batch = batch.append_column("words", pa.array([sorted(set(r)) for r in rows], pa.list_(pa.binary())))
+        distinct = [set(r) for r in rows]
+        signs = [sorted(d.union(*map(affixes, d))) for d in distinct]
+        batch = batch.append_column("words", pa.array(signs, pa.list_(pa.binary())))
         wanted = [signature(r) == s for r, s in zip(rows, batch["signature"].to_pylist())]
         yield batch.select(["toxic", "rows", "words"]).filter(pa.array(wanted, pa.bool_()))
 
@@ -142,11 +177,12 @@ def _evidence(train: DataFrame, labelled: DataFrame) -> dict[bytes, int]:
         F.round(F.sum(F.col("toxic") / F.col("rows")), 6).alias("t"), F.round(F.sum((1 - F.col("toxic")) / F.col("rows")), 6).alias("c")
     )
     odds = lambda n, of: F.log((F.col(n) + 0.5) / (F.lit(of + 0.5) - F.col(n)))
+    is_affix = F.substring("word", 1, 1).isin(F.lit(b"^"), F.lit(b"$"))
     spread = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
     strong = (
         counts.where("t >= 3")
         .withColumn("bound", odds("t", t) - odds("c", c) - 2 * spread)
-        .where(F.col("bound") > LEAST_EVIDENCE)
+        .where(F.col("bound") > F.when(is_affix, LEAST_AFFIX_EVIDENCE).otherwise(LEAST_EVIDENCE))
         .orderBy(F.desc("bound"), "word")
         .limit(MOST_WORDS)
         .collect()
@@ -160,12 +196,14 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     train = docs.where(id_bucket(FOLDS) != HELD_FOLD).select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     # Labels grow with the documents: sorted and merged at every size, never broadcast.
-    prints = train.mapInArrow(_signatures, f"doc_id {kind}, signature long")
+    prints = train.mapInArrow(_signatures, f"doc_id {kind}, signature long, n long")
     labelled = written(prints.join(toxic.hint("merge"), "doc_id"), "labelled")
     evidence = _evidence(train, labelled)
     if not evidence:
-        return Model({}, Crf.start(), (-30.0, 0.0, 0.0))
-    ids = labelled.select("toxic", "doc_id").distinct().withColumn("h", F.xxhash64(F.lit(SEED), "doc_id"))
+        return Model(Observations({}), Crf.start(), (-30.0, 0.0, 0.0))
+    observations = Observations(evidence)
+    short = labelled.groupBy("toxic", "doc_id").agg(F.max("n").alias("n")).where(F.col("n") <= FIT_TOKENS)
+    ids = short.select("toxic", "doc_id").withColumn("h", F.xxhash64(F.lit(SEED), "doc_id"))
     chosen = None
     for label in (0, 1):
         part = ids.where(F.col("toxic") == label).orderBy("h", "doc_id").limit(FIT_ROWS)
@@ -175,13 +213,13 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [tokens(x) for x in batch["text"].cast(pa.binary()).to_pylist()]
-            places = [[i for i, w in enumerate(r) if w in evidence] for r in rows]
+            found = [observations.placed(r) for r in rows]
             yield pa.RecordBatch.from_pydict(
                 {
                     "toxic": batch["toxic"],
                     "n": pa.array([len(r) for r in rows], pa.int64()),
-                    "places": pa.array(places, pa.list_(pa.int64())),
-                    "levels": pa.array([[evidence[r[i]] for i in p] for r, p in zip(rows, places)], pa.list_(pa.int64())),
+                    "places": pa.array([f[0] for f in found], pa.list_(pa.int64())),
+                    "levels": pa.array([f[1] for f in found], pa.list_(pa.int64())),
                 }
             )
 
@@ -189,11 +227,11 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     rows = sorted(rows, key=lambda r: (r["toxic"], r["n"], r["places"], r["levels"]))
     sequences = []
     for r in rows:
-        levels, tags = np.zeros(r["n"], dtype=np.int64), np.zeros(r["n"], dtype=np.int64)
+        levels, tags = np.zeros((2, r["n"]), dtype=np.int16)
         levels[r["places"]] = r["levels"]
-        tags[[p for p, level in zip(r["places"], r["levels"]) if r["toxic"] and level >= 2]] = 1
+        tags[[p for p, x in zip(r["places"], r["levels"]) if r["toxic"] and highest(x) >= LEAST_MARK]] = 1
         sequences.append((levels, tags))
-    model = Model(evidence, trained(sequences), (0.0, 0.0, 0.0))
+    model = Model(observations, trained(sequences), (0.0, 0.0, 0.0))
     x = np.array([model.features(r["places"], r["levels"], r["n"]) for r in rows])
     y = np.array([float(r["toxic"]) for r in rows])
     # The sample holds both labels evenly; weights restore their true shares.

@@ -161,6 +161,47 @@ def test_training_gradient_equals_differences():
         assert pairs[at] == pytest.approx((loglik(up) - loglik(down)) / 2e-4, abs=1e-3)
 
 
+def test_codes_weigh_word_beginning_and_end():
+    rng = np.random.default_rng(4)
+    weights = [np.concatenate([[0], rng.normal(0, 1, crf.LEVELS - 1)]) for _ in range(5)]
+    model = crf.Crf(-0.7, *weights[:3], rng.normal(0, 1, (2, 2)), *weights[3:])
+    parts = rng.integers(0, crf.LEVELS, (3, 5))
+    levels = np.array([crf.code(*map(int, p)) for p in parts.T])
+    u, top = model.potentials(levels), parts.max(axis=0)
+    assert top.tolist() == [crf.highest(x) for x in levels]
+    own, before, after, begin, end = weights
+    for i in range(5):
+        want = -0.7 + own[parts[0, i]] + begin[parts[1, i]] + end[parts[2, i]]
+        want += (before[top[i - 1]] if i else 0) + (after[top[i + 1]] if i < 4 else 0)
+        assert u[i] == pytest.approx(want)
+    # Gradients of the affix weights against differences; all tags are 1.
+    tags, lengths = np.ones((1, 5), dtype=int), np.array([5])
+    grads = crf._gradient(model, levels[None], tags, lengths)
+
+    def loglik():
+        u = crf.Crf(-0.7, own, before, after, model.change, begin, end).potentials(levels)
+        score = lambda t: sum(u[k] for k in range(5) if t[k]) + sum(model.change[a, b] for a, b in zip(t, t[1:]))
+        return score((1,) * 5) - math.log(sum(math.exp(score(t)) for t in product((0, 1), repeat=5)))
+
+    for at, weight in ((1, own), (5, begin), (6, end)):
+        for level in set(parts[{1: 0, 5: 1, 6: 2}[at]]) - {0}:
+            weight[level] += 1e-4
+            up = loglik()
+            weight[level] -= 2e-4
+            down = loglik()
+            weight[level] += 1e-4
+            assert grads[at][level] == pytest.approx((up - down) / 2e-4, abs=1e-3)
+
+
+def test_training_windows_hold_every_token_once():
+    rng = np.random.default_rng(6)
+    texts = [(rng.integers(0, 8, n), rng.integers(0, 2, n)) for n in (1, 5000, crf.WINDOW, 300, crf.WINDOW + 1)]
+    seen = list(crf._windows(texts * 60))
+    assert sum(int(n.sum()) for _, _, n in seen) == 60 * sum(len(x) for x, _ in texts)
+    assert all(x.shape == y.shape and x.shape[0] <= crf.WINDOWS_AT_ONCE and x.shape[1] <= crf.WINDOW for x, y, _ in seen)
+    assert sum(int(y.sum()) for _, y, _ in seen) == 60 * sum(int(y.sum()) for _, y in texts)
+
+
 def toxic_corpus(n):
     rng = random.Random(5)
     rows, labels = [], []
@@ -191,6 +232,26 @@ def test_toxic_documents_and_spans(llm):
     assert kept.count() == 400 and kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_word_beginnings_and_a_million_words(llm):
+    """Toxic words never come twice, only their beginnings do; one labelled text is very long."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(400):
+        words = prose(rng, 60).split()
+        if i % 4 == 0:
+            for _ in range(3):
+                words[rng.randrange(60)] = f"Xqzw{''.join(rng.choices('abcdefgh', k=8))}"
+        rows.append((100 + i, " ".join(words), "en", "s", 0))
+        labels.append((100 + i, 1, int(i % 4 == 0)))
+    long_id = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows.append((long_id, "xqzwabab " + "plain words only " * 333_333, "en", "s", 0))
+    out = toxicity.scored(documents(llm, rows), llm.createDataFrame([*labels, (long_id, 1, 1)], "doc_id long, quality int, toxic int"))
+    found = {r.doc_id: (r.predicted, [(s.start, s.length) for s in r.spans]) for r in out.collect()}
+    held = [i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert held and all(found[i][0] == (i % 4 == 0) for i in held)
+    assert (0, 8) in found[long_id][1] and len(found[long_id][1]) == 1
+
+
 def test_only_true_copies_share_a_signature():
     rng = random.Random(15)
     shared = prose(rng, 400)
