@@ -84,6 +84,12 @@ def names_in(spark: SparkSession, folder: str, before_ms: int | None = None) ->
     return [f.getPath().getName() for f in found if before_ms is None or f.getModificationTime() < before_ms]
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    target, files = _at(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     target, files = _at(spark, path)
     stream = files.open(target)

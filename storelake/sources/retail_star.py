@@ -2,7 +2,10 @@
 
 Every raw table is a projection of one large input (or of a large input and the
 ``nation`` / ``region`` lookups), so no row of ``orders`` or ``lineitem`` moves
-between executors before the first real operator.  Ids are 1-based.
+between executors before the first real operator.  Reference tables make up to nine rows of
+one, and their files may be a single split, so their rows are first dealt to tasks in
+proportion to the file (``SPREAD_BYTES``); what a task sorts stays the same at any size.
+Ids are 1-based.
 
     tenant       order key (or, for reference data, all three tenants)
     store        block of 50 customers          employee  block of 10 customers
@@ -17,8 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelake.session import size_of
 from storelake.sources.catalog import CATALOG, spec_of
 
+# Parquet bytes of a reference table whose rows one task unfolds.
+SPREAD_BYTES = 1 << 19
+
 TENANTS = ["tenant_01", "tenant_02", "tenant_03"]
 
 _L, _I, _D, _S, _TS = (
@@ -125,6 +132,12 @@ class RetailStar(Mapping[str, DataFrame]):
     def star(self, name: str) -> DataFrame:
         return star_table(self.spark, self.folder, name)
 
+    def _spread(self, name: str, *columns: str) -> DataFrame:
+        """A reference table dealt to tasks by ``columns``; a small one stays as it is read."""
+        tasks = -(-size_of(self.spark, f"{self.folder}/{name}.parquet") // SPREAD_BYTES)
+        rows = self.star(name)
+        return rows.repartition(tasks, *columns) if tasks > 1 else rows
+
     def __getitem__(self, name: str) -> DataFrame:
         spec_of(name)
         return getattr(self, f"_{name}")()
@@ -139,7 +152,7 @@ class RetailStar(Mapping[str, DataFrame]):
 
     def _customers(self) -> DataFrame:
         # BUILDING customers were renamed: an older version precedes the current one.
-        joined = self.star("customer").join(
+        joined = self._spread("customer", "c_custkey", "c_name").join(
             self.star("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         )
         versions = "explode(if(c_mktsegment = 'BUILDING', array(0, 1), array(1))) AS version"
@@ -158,7 +171,7 @@ class RetailStar(Mapping[str, DataFrame]):
         )
 
     def _products(self) -> DataFrame:
-        return self.star("part").selectExpr(
+        return self._spread("part", "p_partkey", "p_name").selectExpr(
             _EVERY_TENANT,
             "p_partkey + 1 AS product_id",
             "concat(' ', p_name, '  ') AS product_name",
@@ -246,7 +259,7 @@ class RetailStar(Mapping[str, DataFrame]):
         links = "least(p_size % 4, p_partkey div 20 + 1)"
         slots = f"explode(if({links} > 0, sequence(0, CAST({links} - 1 AS INT)), array())) AS slot"
         supplier = "p_partkey div 20 - slot"
-        bridge = self.star("part").selectExpr("*", slots)
+        bridge = self._spread("part", "p_partkey", "p_name").selectExpr("*", slots)
         return bridge.selectExpr(
             _EVERY_TENANT,
             "p_partkey * 4 + slot + 1 AS id",
@@ -262,7 +275,7 @@ class RetailStar(Mapping[str, DataFrame]):
         # A product is stocked in its home store, the one before it and store 1.
         home = "(p_partkey div 67 + 1)"
         places = f"array_distinct(array({home}, greatest({home} - 1, 1L), 1L))"
-        stock = self.star("part").selectExpr("*", f"posexplode({places}) AS (slot, store)")
+        stock = self._spread("part", "p_partkey", "p_name").selectExpr("*", f"posexplode({places}) AS (slot, store)")
         return stock.selectExpr(
             _EVERY_TENANT,
             "p_partkey * 3 + slot + 1 AS inventory_id",
@@ -279,7 +292,7 @@ class RetailStar(Mapping[str, DataFrame]):
     def _customer_loyalty(self) -> DataFrame:
         # MACHINERY customers never joined; AUTOMOBILE customers hold two cards.
         cards = (
-            self.star("customer")
+            self._spread("customer", "c_custkey", "c_name")
             .filter("c_mktsegment <> 'MACHINERY'")
             .selectExpr(
                 "*",
