@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelake.llm import decontam, mixing, nearcopies, sharding, toxicity
+from storelake.llm import decontam, mixing, nearcopies, sharding, simhash, toxicity
 from storelake.llm.common import prepared, table
-from storelake.session import scratch_path
+from storelake.session import scratch_path, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -18,8 +18,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component stays; near copies beyond its two bits then go by their
+    exact Jaccard similarity."""
     prepared(spark)
-    return nearcopies.deduplicated(docs)
+    return nearcopies.deduplicated(written(simhash.deduplicated(docs), "components-kept"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpus import documents, got, many, odd_rows, prose
-from storelake.llm import crf, decontam, gru, lm, toxicity
+from storelake.llm import crf, decontam, gru, lm, nearcopies, simhash, toxicity
 
 # -- language model ------------------------------------------------------------------------
 
@@ -374,3 +374,17 @@ def test_pipeline(llm, tmp_path):
     assert after["sharding"] == after["mixing"]
     rerun = corpus_pipeline.run(llm, str(tmp_path))
     assert sorted(map(repr, rerun.collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_pipeline_drops_what_the_simhash_operator_links(llm):
+    rng = random.Random(21)
+    chorus = " ".join([prose(rng, 5)] * 50)
+    far = [f"{chorus} {prose(rng, 40)}" for _ in range(2)]
+    base = prose(rng, 200).split()
+    near = [" ".join(base), " ".join([*base[:195], *prose(rng, 5).split()])]
+    docs = documents(llm, [(i, t, "en", "a", 0) for i, t in enumerate([*far, *near, prose(rng, 60)])])
+    # The first two differ in most distinct shingles but not in two bits; the next two the other way round.
+    linked = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert linked[1] == 0 and linked[3] == 3
+    assert {r.doc_id for r in nearcopies.deduplicated(docs).collect()} == {0, 1, 2, 4}
+    assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(llm, docs, "").collect()} == {0, 2, 4}
