@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK = 32
+BLOCK = 64
 WINDOW = 16
 STREAMS = 256
 SCORE_STEPS = 128  # a multiple of WINDOW
 HIDDEN = 8
+SLICE = 1024  # tokens whose class scores stay in the processor's cache
 NAMES = ("embed", "cell", "classes", "class_bias", "words", "word_bias", "first")
 
 
@@ -98,26 +99,35 @@ class Gru:
         gradient of the states (of the summed log-likelihood)."""
         p = self.p
         classes = self.class_of(ids)
-        loglik, weight = _softmax(p["classes"].T @ states, p["class_bias"], classes)
-        back = None
-        if grads is not None:
-            grads["classes"] += states @ weight.T
-            grads["class_bias"] += weight.sum(axis=1)
-            back = p["classes"] @ weight
-        order = np.argsort(np.minimum(classes, self.n_blocks).astype(np.int16), kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(self.n_blocks)).tolist()
-        bounds.append(int((classes < self.n_blocks).sum()))
-        for c in range(self.n_blocks):
-            at = order[bounds[c] : bounds[c + 1]]
-            if not len(at):
-                continue
-            near = states[:, at]
-            inner, weight = _softmax(p["words"][c].T @ near, p["word_bias"][c], ids[at] - c * BLOCK)
-            loglik[at] += inner
+        loglik = np.empty(len(ids))
+        back = None if grads is None else np.empty_like(states)
+        for start in range(0, len(ids), SLICE):
+            at = slice(start, start + SLICE)
+            loglik[at], weight = _softmax(p["classes"].T @ states[:, at], p["class_bias"], classes[at])
             if grads is not None:
-                grads["words"][c] += near @ weight.T
-                grads["word_bias"][c] += weight.sum(axis=1)
-                back[:, at] += p["words"][c] @ weight
+                grads["classes"] += states[:, at] @ weight.T
+                grads["class_bias"] += weight.sum(axis=1)
+                back[:, at] = p["classes"] @ weight
+        sizes = np.bincount(classes[classes < self.n_blocks], minlength=self.n_blocks)
+        held = np.flatnonzero(sizes).tolist()
+        ends = np.cumsum(sizes)
+        spans = [slice(int(ends[c] - sizes[c]), int(ends[c])) for c in held]
+        # Tokens of one block side by side: a product per block, everything else for all blocks at once.
+        order = np.argsort(np.minimum(classes, self.n_blocks).astype(np.int16), kind="stable")[: int(sizes.sum())]
+        near = states[:, order]
+        logits = np.empty((BLOCK, len(order)), np.result_type(states, p["words"]))
+        for c, span in zip(held, spans):
+            np.add(p["words"][c].T @ near[:, span], p["word_bias"][c][:, None], out=logits[:, span])
+        inner, weight = _softmax(logits, None, ids[order] % BLOCK)
+        loglik[order] += inner
+        if grads is not None and held:
+            into = np.empty_like(near)
+            for c, span in zip(held, spans):
+                part = weight[:, span]
+                grads["words"][c] += near[:, span] @ part.T
+                grads["word_bias"][c] += part.sum(axis=1)
+                into[:, span] = p["words"][c] @ part
+            back[:, order] += into
         return loglik, back
 
     def _backward(self, given, tape, back, grads) -> None:
@@ -192,9 +202,10 @@ def _picked(states: np.ndarray, real: np.ndarray) -> np.ndarray:
     return flat if real.all() else flat[:, np.flatnonzero(real)]
 
 
-def _softmax(logits: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _softmax(logits: np.ndarray, bias: np.ndarray | None, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log probability of the chosen row of each column, and its gradient by the logits."""
-    logits += bias[:, None]
+    if bias is not None:
+        logits += bias[:, None]
     np.clip(logits, -80, 80, out=logits)
     columns = np.arange(logits.shape[1])
     loglik = logits[chosen, columns].astype(np.float64)

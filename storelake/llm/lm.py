@@ -8,8 +8,9 @@ So every text has a probability, and only the model's tables have a fixed size.
 Training passes once over all training documents, in ``ROUNDS`` parts: every task trains a copy
 of the model on its documents, and the copies are averaged by tokens after each part.
 
-Counts of the ``DICTIONARY`` most frequent words are part of the scoring task; those of all other
-words are joined, so no task holds the vocabulary.
+Every text is cut into tokens twice: for the counts, and to store its model numbers, which training and
+scoring read.  Counts of the ``DICTIONARY`` most frequent words are part of the second task; those of
+all other words are joined, so no task holds the vocabulary.
 
 Defined results
     null or empty text   only the end token
@@ -40,7 +41,7 @@ from storelake.llm.gru import BLOCK, NAMES, Adam, Gru
 from storelake.session import written
 
 FOLDS, HELD_FOLD = 7, 2
-WORDS = 256
+WORDS = 2048
 GROUPS = 32
 DICTIONARY = 200_000
 ROUNDS = 2
@@ -143,22 +144,24 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(frequent, [by_group.get(g, (0, 0)) for g in range(GROUPS)], total["n"] or 0, total["v"])
 
 
-def _together(batches: Iterator[pa.RecordBatch], size: int = GROUP_TOKENS) -> Iterator[list[tuple[pa.RecordBatch, list[list[bytes]]]]]:
-    """Batches with their tokens, gathered to about ``size`` tokens."""
-    held, n = [], 0
+def _together(batches: Iterator[pa.RecordBatch], size: int = GROUP_TOKENS) -> Iterator[tuple[list[pa.RecordBatch], list[np.ndarray]]]:
+    """Batches with the model numbers of their texts, gathered to about ``size`` tokens."""
+    held, texts, n = [], [], 0
     for batch in batches:
-        words = [tokens(t) for t in batch["text"].cast(pa.binary()).to_pylist()]
-        held.append((batch, words))
-        n += sum(map(len, words))
+        ids = batch["ids"]
+        ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.int64)
+        held.append(batch)
+        texts += [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        n += int(ends[-1] - ends[0])
         if n >= size:
-            yield held
-            held, n = [], 0
+            yield held, texts
+            held, texts, n = [], [], 0
     if held:
-        yield held
+        yield held, texts
 
 
 def trained(training: DataFrame, vocab: Vocabulary) -> Gru:
-    """Model averaging: each part of the documents trains copies of the present model."""
+    """Model averaging: each part of the ``numbered`` documents trains copies of the present model."""
     model = Gru.start(vocab.counts[: vocab.n_words].astype(float), vocab.group_tokens.astype(float), SEED)
     shapes = {k: v.shape for k, v in model.p.items()}
     for part in range(ROUNDS):
@@ -167,8 +170,7 @@ def trained(training: DataFrame, vocab: Vocabulary) -> Gru:
         def copies(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
             own = Gru({k: v.copy() for k, v in given.p.items()}, given.n_words)
             adam, used = Adam(RATE), 0
-            for held in _together(batches):
-                texts = [vocab.model_ids(w, vocab.numbers(w)) for _, rows in held for w in rows]
+            for _, texts in _together(batches):
                 used += own.train(texts, adam)
             for name in NAMES if used else ():
                 values = own.p[name].ravel().astype(float) * used
@@ -176,7 +178,7 @@ def trained(training: DataFrame, vocab: Vocabulary) -> Gru:
                     {"name": pa.array([name]), "tokens": pa.array([used], pa.int64()), "values": pa.array([values], pa.list_(pa.float64()))}
                 )
 
-        mine = training.where(F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(ROUNDS)) == part).select("text")
+        mine = training.where(F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(ROUNDS)) == part).select("ids")
         sums = (
             mine.mapInArrow(copies, "name string, tokens long, values array<double>")
             .select("name", "tokens", F.posexplode("values").alias("at", "value"))
@@ -195,48 +197,65 @@ def trained(training: DataFrame, vocab: Vocabulary) -> Gru:
     return model
 
 
-_PARTIAL = "row long, doc_id {}, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,n:long>>"
+_NUMBERED = (
+    "row long, doc_id {}, held_out boolean, n_tokens long, n_known long, base double, share double, "
+    "ids array<int>, rare array<struct<word:binary,n:long>>"
+)
 
 
-def _scored(model: Gru, vocab: Vocabulary):
+def _numbers(vocab: Vocabulary):
     kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
-        for held in _together(batches):
-            flat = [w for _, rows in held for w in rows]
-            numbers = [vocab.numbers(w) for w in flat]
-            ids = [vocab.model_ids(w, n) for w, n in zip(flat, numbers)]
-            loglik = model.score(ids) / math.log(10)
+        for batch in batches:
+            n_tokens, n_known, base, shares, ids, rare = [], [], [], [], [], []
+            for text in batch["text"].cast(pa.binary()).to_pylist():
+                words = tokens(text)
+                number = vocab.numbers(words)
+                own = vocab.model_ids(words, number)
+                inside = number >= 0
+                known = number[inside]
+                groups = own[own >= vocab.n_words] - vocab.n_words
+                # A rare word's share of its group: its count here, or joined later, over the group's size.
+                shares.append(float(vocab.log_count[known[known >= vocab.n_words]].sum() - vocab.group_size[groups].sum()))
+                n_tokens.append(len(words))
+                n_known.append(len(known))
+                base.append(float(vocab.log_count[known].sum()))
+                ids.append(own.astype(np.int32))
+                others = Counter(words[i] for i in np.flatnonzero(~inside).tolist())
+                rare.append([{"word": w, "n": n} for w, n in others.items()])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "row": pa.array(np.arange(row, row + batch.num_rows)),
+                    "doc_id": batch["doc_id"],
+                    "held_out": batch["held_out"],
+                    "n_tokens": pa.array(n_tokens, pa.int64()),
+                    "n_known": pa.array(n_known, pa.int64()),
+                    "base": pa.array(base, pa.float64()),
+                    "share": pa.array(shares, pa.float64()),
+                    "ids": pa.array(ids, pa.list_(pa.int32())),
+                    "rare": pa.array(rare, kind),
+                }
+            )
+            row += batch.num_rows
+
+    return run
+
+
+_PARTIAL = "row long, doc_id {}, held_out boolean, n_tokens long, n_known long, base double, score double"
+
+
+def _scored(model: Gru):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held, texts in _together(batches):
+            loglik = model.score(texts) / math.log(10)
             at = 0
-            for batch, rows in held:
-                n_known, base, score, rare = [], [], [], []
-                for words in rows:
-                    number, own = numbers[at], ids[at]
-                    inside = number >= 0
-                    known = number[inside]
-                    groups = own[own >= vocab.n_words] - vocab.n_words
-                    # A rare word's share of its group: its count here, or joined later, over the group's size.
-                    share = vocab.log_count[known[known >= vocab.n_words]].sum() - vocab.group_size[groups].sum()
-                    n_known.append(len(known))
-                    base.append(float(vocab.log_count[known].sum()))
-                    score.append(float(loglik[at] + share))
-                    others = Counter(words[i] for i in np.flatnonzero(~inside).tolist())
-                    rare.append([{"word": w, "n": n} for w, n in others.items()])
-                    at += 1
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "row": pa.array(np.arange(row, row + batch.num_rows)),
-                        "doc_id": batch["doc_id"],
-                        "held_out": batch["held_out"],
-                        "n_tokens": pa.array([len(w) for w in rows], pa.int64()),
-                        "n_known": pa.array(n_known, pa.int64()),
-                        "base": pa.array(base, pa.float64()),
-                        "score": pa.array(score, pa.float64()),
-                        "rare": pa.array(rare, kind),
-                    }
-                )
-                row += batch.num_rows
+            for batch in held:
+                columns = {name: batch[name] for name in ("row", "doc_id", "held_out", "n_tokens", "n_known", "base")}
+                score = loglik[at : at + batch.num_rows] + batch["share"].to_numpy()
+                yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(score, pa.float64())})
+                at += batch.num_rows
 
     return run
 
@@ -247,10 +266,12 @@ def scored(docs: DataFrame) -> DataFrame:
     training = rows.where(~F.col("held_out"))
     counts = written(token_counts(training), "token-counts")
     vocab = vocabulary(counts)
-    model = trained(training, vocab)
-    partial = written(rows.mapInArrow(_scored(model, vocab), _PARTIAL.format(docs.schema["doc_id"].dataType.simpleString())), "partial-scores")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    numbered = written(rows.mapInArrow(_numbers(vocab), _NUMBERED.format(kind)), "model-numbers")
+    model = trained(numbered.where(~F.col("held_out")), vocab)
+    partial = written(numbered.drop("rare").mapInArrow(_scored(model), _PARTIAL.format(kind)), "partial-scores")
     joined = (
-        partial.select("row", F.explode("rare").alias("r"))
+        numbered.select("row", F.explode("rare").alias("r"))
         .select("row", "r.word", "r.n")
         .join(counts, "word")
         .groupBy("row")
@@ -258,8 +279,7 @@ def scored(docs: DataFrame) -> DataFrame:
     )
     zero = lambda c: F.coalesce(c, F.lit(0))
     return (
-        partial.drop("rare")
-        .join(joined, "row", "left")
+        partial.join(joined, "row", "left")
         .select(
             "doc_id",
             "held_out",

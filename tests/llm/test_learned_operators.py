@@ -345,6 +345,14 @@ def test_scores_do_not_depend_on_the_number_of_shards(llm):
     assert decontam.decontaminated(docs, benchmark, shard_words=-(-2 * words // 8)).count() == len(rows) - len({w[0] for w in want})
 
 
+def test_some_thousand_words_are_modelled_as_themselves():
+    words = [b"w%d" % i for i in range(3000)]
+    vocab = lm.Vocabulary([(w, 5000 - i) for i, w in enumerate(words)], [(10**7, 3000)] * lm.GROUPS, 10**7, 3000)
+    ids = vocab.model_ids(words, vocab.numbers(words))
+    assert ids[:2048].tolist() == list(range(2048))
+    assert set(ids[2048:].tolist()) <= set(range(2048, 2048 + lm.GROUPS))
+
+
 # -- pipeline ------------------------------------------------------------------------------------
 
 
