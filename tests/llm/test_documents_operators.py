@@ -291,6 +291,34 @@ def test_count_table(llm):
     assert tokencount.token_counts(documents(llm, []), MODEL).count() == 0
 
 
+def test_the_count_of_every_prefix_is_stored(llm):
+    texts = {i: t for i, t in enumerate([None, "", " ", "\n", *odd_texts(random.Random(17), 60), "the thin thing, " * 40 + "日本𝄞" * 20])}
+    stored = tokencount.token_counts(documents(llm, [(i, t, None, None, None) for i, t in texts.items()]), MODEL, stored=True).persist()
+    model = tokencount.PrefixCounter(MODEL).model
+    slow = {i: [len(model.encode((t or "")[:n])) for n in range(len(t or "") + 1)] for i, t in texts.items()}
+    for r in stored.collect():
+        assert np.cumsum([0, *r.prefix_steps]).tolist() == slow[r.doc_id]
+        assert r.n_tokens == slow[r.doc_id][-1]
+    for limit in (0, 1, 7, 30):
+        want = {i: max(n for n, c in enumerate(counts) if c <= limit) for i, counts in slow.items()}
+        found = tokencount.fitting_prefixes(stored, limit).collect()
+        assert {r.doc_id: (r.prefix_chars, r.prefix_tokens) for r in found} == {i: (n, slow[i][n]) for i, n in want.items()}
+        capped = tokencount.token_counts(documents(llm, [(i, t, None, None, None) for i, t in texts.items()]), MODEL, limit, stored=True)
+        assert {r.doc_id: r.fitting_chars for r in capped.collect()} == want
+    stored.unpersist()
+
+
+def test_full_caches_do_not_change_counts(monkeypatch):
+    counter = tokencount.PrefixCounter(MODEL)
+    monkeypatch.setattr(tokencount, "CACHED_PARTS", 20)
+    monkeypatch.setattr(tokencount, "CACHED_PAIRS", 10)
+    for text in filter(None, odd_texts(random.Random(18), 60)):
+        parts = counter.parts(text)
+        counter.fill(parts)
+        counts = counter.every_prefix(parts)[2]
+        assert counts.tolist() == [len(counter.model.encode(text[:i])) for i in range(len(text) + 1)]
+
+
 def test_budgets_at_cuts_come_from_stored_counts(llm):
     rows = odd_rows() + [(100 + i, t, None, None, None) for i, t in enumerate(odd_texts(random.Random(14), 60))]
     stored = tokencount.token_counts(documents(llm, rows), MODEL, stored=True)
