@@ -32,6 +32,8 @@ PLACE = [TENANT, "store_sk", "product_sk"]
 # Raw tables whose rows name a transaction, and those that rows of a fact name by a surrogate key.
 OF_TRANSACTIONS = ("transactions", "transaction_items", "transaction_promotions")
 NAMED_BY = {"products": "product_sk", "product_supplier": "product_sk", "stores": "store_sk", "employees": "employee_sk"}
+# Columns of the line fact that a refresh of the stock fact reads.
+STOCK_LINES = (*PLACE, "sales_sk", "transaction_id", "employee_sk", "quantity")
 KEY_COLUMN = {"product_sk": "product_id", "store_sk": "store_id", "employee_sk": "employee_id"}
 
 
@@ -42,8 +44,11 @@ def _together(frames: list[DataFrame]) -> DataFrame:
 class Refresh:
     """Facts as a full rebuild over ``raw`` would give them, from the stored ones and the changes."""
 
-    def __init__(self, stored: Warehouse, raw: Mapping[str, DataFrame], changes: Mapping[str, DataFrame]):
+    def __init__(self, stored: Warehouse, raw: Mapping[str, DataFrame], changes: Mapping[str, DataFrame], lines: str = "int_sales_enriched"):
+        """``lines``: the stored line fact that tells which transactions rows belong to."""
         self.stored = stored
+        self.lines = lines
+        self._recomputed: dict[str, DataFrame] = {}
         self.raw = raw
         self.changes = {name: df for name, df in changes.items() if name in raw}
 
@@ -51,12 +56,13 @@ class Refresh:
         """Surrogate keys of the changed rows of a table."""
         if table not in self.changes:
             return None
-        return self.changes[table].select(surrogate_key(TENANT, column).alias(key)).distinct()
+        # Stored, so its size is known: rows of a fact move only for a large change set.
+        return written(self.changes[table].select(surrogate_key(TENANT, column).alias(key)).distinct(), "named")
 
     @cached_property
     def touched(self) -> DataFrame:
         """(tenant_id, transaction_id) of the transactions to recompute."""
-        lines = self.stored["int_sales_enriched"]
+        lines = self.stored[self.lines]
         found = [self.changes[t].select(*TRANSACTION) for t in OF_TRANSACTIONS if t in self.changes]
         named = [("transaction_items", "sales_sk", "item_id"), *[(t, key, KEY_COLUMN[key]) for t, key in NAMED_BY.items()]]
         for table, key, column in named:
@@ -67,7 +73,7 @@ class Refresh:
         if uses is not None:
             found.append(self.stored["fact_promotion_usage"].join(uses, "txn_promo_sk", "left_semi").select(*TRANSACTION))
         if not found:
-            return self.stored["int_sales_enriched"].select(*TRANSACTION).limit(0)
+            return lines.select(*TRANSACTION).limit(0)
         return written(_together(found).distinct(), "touched")
 
     @cached_property
@@ -83,13 +89,12 @@ class Refresh:
             cut[table] = mine
         return Warehouse({**dict(self.raw.items()), **cut}, self.stored.loaded_at)
 
-    @cached_property
-    def _recomputed(self) -> dict[str, DataFrame]:
-        # The part's lines may have gone to transactions that are not touched; those are not its business.
-        names = "int_sales_enriched", "fact_sales"
-        return {n: written(self.part[n].join(self.touched, TRANSACTION, "left_semi"), f"part-{n}") for n in names}
-
     def recomputed(self, name: str) -> DataFrame:
+        """A line fact of the touched transactions, with the columns that are stored of it."""
+        if name not in self._recomputed:
+            # The part's lines may have gone to transactions that are not touched; those are not its business.
+            mine = self.part[name].join(self.touched, TRANSACTION, "left_semi")
+            self._recomputed[name] = written(mine.select(*self.stored[name].columns), f"part-{name}")
         return self._recomputed[name]
 
     def _line_fact(self, name: str) -> DataFrame:
