@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_THIRD = 32_749
 
 
 def attach(rows: DataFrame, lookup: DataFrame, entity: str, how: str = "left") -> DataFrame:
     """Join fact rows with a side that has one row per ``entity``.
 
-    The surrogate key repeats what id and tenant say, and is part of the condition on
-    purpose.  The lookup is already partitioned by ``(id, tenant)`` from its newest-version
-    step; with three join keys Spark does not reuse that partitioning but exchanges both
-    sides for this join.  Only then can adaptive execution cut a hot key of the row side
-    (NULL included) into several tasks.  The lookup is the small side, so its extra
-    exchange is cheap, and below the broadcast limit none of this is planned at all.
+    A third key, made from the id, is part of the condition on purpose.  The lookup is already
+    partitioned by ``(id, tenant)`` from its newest-version step; with three join keys Spark does
+    not reuse that partitioning but exchanges both sides for this join.  Only then can adaptive
+    execution cut a hot key of the row side (NULL included) into several tasks.  The lookup is the
+    small side, so its extra exchange is cheap, and below the broadcast limit none of this is
+    planned at all.  A number serves, so that rows need not carry the text of a surrogate key
+    through the exchange and the sort.
 
     The id leads: sorts compare its 64-bit prefix.  Since ``(id, tenant)`` is known to be
     unique, a left join none of whose columns is used is dropped by the optimizer.
     """
-    return rows.join(lookup, [f"{entity}_id", "tenant_id", f"{entity}_sk"], how)
+    third = (F.col(f"{entity}_id") % _THIRD).cast("int")
+    keys = [f"{entity}_id", "tenant_id", "_third"]
+    return rows.withColumn("_third", third).join(lookup.withColumn("_third", third), keys, how).drop("_third")

@@ -2,6 +2,7 @@
 
 Lines are the largest table, so a model moves them once: everything known per
 transaction is gathered on the header first, everything known per product in one lookup.
+Lines and headers move with their ids; the texts of their surrogate keys are made after the last join.
 No side is broadcast by hint; Spark decides that from the measured size.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelake.functions import as_double, date_key, half_up, iso_weekday, with_audit, year_month
+from storelake.functions import as_double, date_key, half_up, iso_weekday, surrogate_key, with_audit, year_month
 from storelake.operators.joins import attach
 from storelake.plans.warehouse import Warehouse, model
 
@@ -43,11 +44,16 @@ def int_primary_cost(wh: Warehouse) -> DataFrame:
 
 
 def _lines(wh: Warehouse) -> DataFrame:
-    return wh["stg_transaction_items"].drop("created_at", "updated_at")
+    return wh["stg_transaction_items"].drop("created_at", "updated_at", "item_sk", "transaction_sk", "product_sk")
 
 
 def _headers(wh: Warehouse) -> DataFrame:
-    return wh["stg_transactions"].drop("created_at", "updated_at")
+    keys = [f"{entity}_sk" for entity in ("transaction", "customer", "store", "employee")]
+    return wh["stg_transactions"].drop("created_at", "updated_at", *keys)
+
+
+def _key(entity: str, name: str | None = None) -> Column:
+    return surrogate_key("tenant_id", f"{entity}_id").alias(name or f"{entity}_sk")
 
 
 def _product_lookup(wh: Warehouse) -> DataFrame:
@@ -56,12 +62,11 @@ def _product_lookup(wh: Warehouse) -> DataFrame:
     Union and grouping instead of a full join: one shuffle, and the key is visibly unique.
     """
     named = wh["stg_products"].select(
-        "product_id", "tenant_id", "product_sk", "product_name", "category"
+        "product_id", "tenant_id", "product_name", "category"
     )
     costed = wh["int_primary_cost"].select(
         "product_id",
         "tenant_id",
-        "product_sk",
         "primary_supplier_sk",
         F.col("cost_price").alias("known_cost"),
     )
@@ -69,7 +74,7 @@ def _product_lookup(wh: Warehouse) -> DataFrame:
     return (
         named.unionByName(costed, allowMissingColumns=True)
         .groupBy("product_id", "tenant_id")
-        .agg(*[F.max(c).alias(c) for c in ("product_sk", *facts)])
+        .agg(*[F.max(c).alias(c) for c in facts])
     )
 
 
@@ -77,12 +82,11 @@ def _product_lookup(wh: Warehouse) -> DataFrame:
 def int_sales_enriched(wh: Warehouse) -> DataFrame:
     """One row per line of a completed transaction with product, store, clerk and cost."""
     stores = wh["stg_stores"].select(
-        "store_id", "tenant_id", "store_sk", F.col("city").alias("store_city")
+        "store_id", "tenant_id", F.col("city").alias("store_city")
     )
     clerks = wh["stg_employees"].select(
         "employee_id",
         "tenant_id",
-        "employee_sk",
         "employee_name",
         F.col("role").alias("employee_role"),
     )
@@ -90,19 +94,19 @@ def int_sales_enriched(wh: Warehouse) -> DataFrame:
     sold = attach(_lines(wh), headers, "transaction", "inner")
     unit_cost = F.coalesce("known_cost", _zero())
     rows = attach(sold, _product_lookup(wh), "product").select(
-        F.col("item_sk").alias("sales_sk"),
+        _key("item", "sales_sk"),
         "tenant_id",
-        "transaction_sk",
+        _key("transaction"),
         "transaction_id",
         "date_key",
         "transaction_date",
-        "customer_sk",
-        "store_sk",
+        _key("customer"),
+        _key("store"),
         "store_city",
-        "employee_sk",
+        _key("employee"),
         "employee_name",
         "employee_role",
-        "product_sk",
+        _key("product"),
         "product_name",
         "category",
         "primary_supplier_sk",
@@ -286,16 +290,16 @@ def fact_sales(wh: Warehouse) -> DataFrame:
     # Both sides have one row per transaction and the same partitioning: no exchange here.
     headers = _headers(wh).join(promos, ["transaction_id", "tenant_id"], "left")
     rows = attach(_lines(wh), headers, "transaction", "inner").select(
-        F.col("item_sk").alias("sales_sk"),
+        _key("item", "sales_sk"),
         "tenant_id",
-        "transaction_sk",
+        _key("transaction"),
         "transaction_id",
         "date_key",
         "transaction_date",
-        "customer_sk",
-        "store_sk",
-        "employee_sk",
-        "product_sk",
+        _key("customer"),
+        _key("store"),
+        _key("employee"),
+        _key("product"),
         "product_id",
         "quantity",
         "unit_price",
@@ -312,11 +316,10 @@ def fact_sales(wh: Warehouse) -> DataFrame:
 @model("marts")
 def fact_promotion_usage(wh: Warehouse) -> DataFrame:
     """One row per promotion used on a completed transaction."""
-    uses = wh["stg_transaction_promotions"]
+    uses = wh["stg_transaction_promotions"].drop("transaction_sk")
     headers = wh["stg_transactions"].select(
         "transaction_id",
         "tenant_id",
-        "transaction_sk",
         "store_sk",
         "customer_sk",
         "date_key",
@@ -326,7 +329,7 @@ def fact_promotion_usage(wh: Warehouse) -> DataFrame:
     rows = attach(uses, headers, "transaction", "inner").select(
         "txn_promo_sk",
         "tenant_id",
-        "transaction_sk",
+        _key("transaction"),
         "transaction_id",
         "promo_sk",
         "store_sk",
