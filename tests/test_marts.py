@@ -163,3 +163,11 @@ def test_materialized_models_equal_lazy_ones(spark, tmp_path):
     for name in ("fact_sales", "int_sales_enriched", "dim_date", "dim_loyalty_tier"):
         a, b = lazy[name].drop("dbt_loaded_at"), stored[name].drop("dbt_loaded_at")
         assert a.columns == b.columns and sorted(map(str, rows(a))) == sorted(map(str, rows(b)))
+
+
+def test_lines_move_without_the_texts_of_surrogate_keys(spark):
+    wh = sales_shop(spark)
+    for fact in ("int_sales_enriched", "fact_sales"):
+        plan = wh[fact]._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join " in line]
+        assert joins and not any("_sk" in line for line in joins)

@@ -97,3 +97,13 @@ def test_rows_since_a_generation(spark, tmp_path):
     zone.compact("products", "t1")
     with pytest.raises(Conflict):
         zone.since("products", seen)
+
+
+def test_a_fact_is_refreshed_without_the_others(spark, before):
+    own = Warehouse(raw_of(spark, BEFORE)).over({n: before[n] for n in ("fact_sales", "fact_promotion_usage")})
+    data = {t: items for name in GROUPS[0] for t, items in CHANGES[name].items()}
+    changed = {t: raw_table(spark, t, items) for t, items in data.items()}
+    after = {t: df.unionByName(changed[t]) if t in changed else df for t, df in raw_of(spark, BEFORE).items()}
+    work = Refresh(own, after, changed, lines="fact_sales")
+    assert content(work.fact_sales()) == content(Warehouse(after)["fact_sales"])
+    assert set(work._recomputed) == {"fact_sales"}
