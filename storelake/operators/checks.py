@@ -55,14 +55,16 @@ def repeated_keys(df: DataFrame, column: str) -> DataFrame:
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Non-NULL child keys missing in the parent, with their number of rows.
 
-    Child rows collapse to one per key before the join, so a hot key joins once."""
-    keys = (
-        child.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    known = parent.select(F.col(parent_column).alias("key"))
-    return keys.join(known, "key", "left_anti").withColumnRenamed("key", column)
+    Keys of both sides meet in one grouping, which collapses them where they are read: a hot key
+    and a parent that repeats its keys move one row per task, and nothing is sorted."""
+
+    def keys(df: DataFrame, name: str, rows: int) -> DataFrame:
+        kept = df.filter(F.col(name).isNotNull())
+        return kept.select(F.col(name).alias("key"), F.lit(rows).cast("long").alias("rows"), F.lit(rows == 0).alias("known"))
+
+    both = keys(child, column, 1).unionByName(keys(parent, parent_column, 0))
+    per_key = both.groupBy("key").agg(F.sum("rows").alias("rows"), F.max("known").alias("known"))
+    return per_key.filter("not known").drop("known").withColumnRenamed("key", column)
 
 
 # -- failure counts ---------------------------------------------------------------

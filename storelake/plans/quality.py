@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storelake.operators.checks import (
     ERROR,
@@ -24,11 +26,23 @@ from storelake.operators.checks import (
 from storelake.operators.versions import current_rows
 from storelake.plans.warehouse import Warehouse
 from storelake.session import written
-from storelake.sources.catalog import spec_of
+from storelake.sources.bases import Bases
+from storelake.sources.catalog import TENANT, spec_of
 
 # Gate order.  Source checks run with the staging layer.
 GATES = ("staging", "marts")
 
+# The raw tables of most rows, whose newest rows are sorted out once for all passes, and their columns
+# that a check or a model below one reads.
+LARGE = {
+    "transactions": ("transaction_id", "customer_id", "store_id", "transaction_date", "payment_method", "status"),
+    "transaction_items": ("item_id", "transaction_id", "product_id", "quantity", "subtotal"),
+    "transaction_promotions": ("id", "transaction_id", "promo_id"),
+    "inventory": ("inventory_id", "product_id", "store_id", "stock_qty"),
+}
+# Columns of a checked model that the checked models above it read.
+READ_ABOVE = {"int_sales_enriched": ("tenant_id", "store_sk", "product_sk", "quantity")}
+
 # Accepted codes.
 GENDERS = ("Male", "Female")
 STORE_TYPES = ("minimarket", "supermarket", "express")
@@ -166,14 +180,73 @@ def _frame(wh: Warehouse, name: str) -> DataFrame:
     return wh.raw[name.removeprefix("raw.")] if name.startswith("raw.") else wh[name]
 
 
+def _written_all(frames: Mapping[str, DataFrame], purpose: str) -> dict[str, DataFrame]:
+    """Stored side by side: small tables leave most executors idle."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return dict(zip(frames, pool.map(lambda df: written(df, purpose), frames.values()), strict=True))
+
+
+def _unread(table: str, field: T.StructField) -> Column:
+    """A column that was not stored: no value is made up for one that is read after all."""
+    message = f"{table}.{field.name} is not among the columns stored for the checks"
+    return F.raise_error(F.lit(message)).cast(field.dataType).alias(field.name)
+
+
+def sorted_out(wh: Warehouse, tables: Iterable[str] = tuple(LARGE)) -> Warehouse:
+    """Another warehouse, for checks, over stored newest rows of these large raw tables, so that no
+    pass over it and no model in it chooses versions again.  Bases hold newest rows already."""
+    if isinstance(wh.raw, Bases):
+        return wh
+    current = {t: current_rows(wh.raw[t], spec_of(t)) for t in tables if t not in wh.newest}
+    kept = _written_all({t: df.select(TENANT, *LARGE[t]) for t, df in current.items()}, "newest")
+    newest = {
+        t: kept[t].select(*[f.name if f.name in kept[t].columns else _unread(t, f) for f in df.schema])
+        for t, df in current.items()
+    }
+    return wh.above(newest)
+
+
+def _shared(wh: Warehouse, checks: Sequence[Check], read: Sequence[tuple[str, str]] = ()) -> tuple[Warehouse, dict[str, DataFrame]]:
+    """The warehouse over stored newest rows of the large raw tables that several checked models
+    read, and the checked columns, stored, of models that several passes read.
+
+    ``read``: columns of models that further passes read."""
+    passes = list(dict.fromkeys(c.model for c in checks if c.kind != "relationships"))
+    uniques = Counter(c.model for c in checks if c.kind == "unique")
+    passes += [m for m, n in uniques.items() for _ in range(n - 1)]
+    relations = [c for c in checks if c.kind == "relationships"]
+    passes += [c.model for c in relations] + [c.parent for c in relations] + [m for m, _ in read]
+    models = [m for m in dict.fromkeys(passes) if not m.startswith("raw.")]
+    used = Counter(u for m in models for u in wh.uses(m))
+    wh = sorted_out(wh, [t for t in LARGE if used[f"stg_{t}"] > 1 and not wh.has(f"stg_{t}")])
+    columns: dict[str, list[str]] = {}
+    for m, column in [(c.model, c.column) for c in checks] + [(c.parent, c.parent_column) for c in relations] + list(read):
+        if column:
+            columns.setdefault(m, []).append(column)
+    below = [m for m in READ_ABOVE if m in models and used[m] > 1 and not wh.has(m)]
+    for m in below:
+        kept = dict.fromkeys([*columns[m], *READ_ABOVE[m]])
+        wh = wh.above(frames={m: written(wh[m].select(*kept), "checked")})
+    several = [m for m, n in Counter(passes).items() if n > 1 and m in models and m not in wh.stored]
+    # A staged view of stored newest rows is read from there.
+    several = [m for m in several if m.removeprefix("stg_") not in wh.newest]
+    narrow = {m: wh[m].select(*dict.fromkeys(columns[m])) for m in several}
+    return wh, _written_all(narrow, "checked")
+
+
 def run_checks(wh: Warehouse, checks: Sequence[Check], store: bool = True) -> DataFrame:
     """One result row per check.
 
     Column checks and the key check of a model share one pass; each relationship is one
-    more.  Of models that several passes read, the checked columns are written to the
-    scratch folder first, unless the model is stored already; the warehouse stays as it is."""
+    more.  What several passes read is written to the scratch folder first, unless it is stored
+    already: newest rows of large raw tables, and of models the checked columns; the warehouse
+    stays as it is."""
+    wh, narrow = _shared(wh, checks) if store else (wh, {})
+    return _run_over(wh, narrow, checks)
+
+
+def _run_over(wh: Warehouse, narrow: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     columns: dict[str, list[Check]] = {}
-    narrow: dict[str, DataFrame] = {}
     keys: dict[str, Check] = {}
     more_keys: list[Check] = []
     relations: list[Check] = []
@@ -186,19 +259,9 @@ def run_checks(wh: Warehouse, checks: Sequence[Check], store: bool = True) -> Da
             more_keys.append(check)
         else:
             keys[check.model] = check
-    passes = list(dict.fromkeys([*columns, *keys]))
-    if store:
-        reads = passes + [c.model for c in more_keys + relations] + [c.parent for c in relations]
-        shared = [m for m, n in Counter(reads).items() if n > 1 and not m.startswith("raw.")]
-        for model in shared:
-            if model not in wh.stored:
-                own = [c.column for c in checks if c.model == model]
-                up = [c.parent_column for c in checks if c.parent == model and c.parent_column]
-                columns_read = list(dict.fromkeys([*own, *up]))
-                narrow[model] = written(_frame(wh, model).select(*columns_read), "checked")
     frame = lambda name: narrow[name] if name in narrow else _frame(wh, name)
     frames = []
-    for model in passes:
+    for model in dict.fromkeys([*columns, *keys]):
         found = columns.get(model, [])
         if model in keys:
             frames.append(keyed_checks(frame(model), keys[model], found))
@@ -229,9 +292,12 @@ def on_grid(counts: DataFrame, tenants: Sequence[str], tables: Sequence[str], *z
     return grid.join(counts, ["tenant_id", "table_name"], "left").withColumns(filled)
 
 
-def landed_counts(raw: Mapping[str, DataFrame], tables: Sequence[str]) -> DataFrame:
-    """Rows per tenant and table after collapsing versions."""
-    return source_counts({name: current_rows(raw[name], spec_of(name)) for name in tables})
+def landed_counts(
+    raw: Mapping[str, DataFrame], tables: Sequence[str], newest: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """Rows per tenant and table after collapsing versions (``newest``: tables where that is done)."""
+    newest = newest or {}
+    return source_counts({n: newest[n] if n in newest else current_rows(raw[n], spec_of(n)) for n in tables})
 
 
 def reconcile_landing(
@@ -240,6 +306,7 @@ def reconcile_landing(
     tables: Sequence[str] | None = None,
     tolerance: int = 0,
     tenants: Sequence[str] | None = None,
+    newest: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Landed against source counts; an unknown table is an error.
 
@@ -249,7 +316,7 @@ def reconcile_landing(
     for name in names:
         spec_of(name)
     compared = row_count_reconcile(
-        source_counts({n: sources[n] for n in names}), landed_counts(raw, names), tolerance
+        source_counts({n: sources[n] for n in names}), landed_counts(raw, names, newest), tolerance
     )
     return compared if tenants is None else on_grid(compared, tenants, names, "source_rows", "landed_rows").withColumn(
         "status", F.coalesce("status", F.lit("OK"))
@@ -291,12 +358,15 @@ def layer_results(wh: Warehouse, layer: str, now=None) -> DataFrame:
     """All results that gate one layer."""
     if layer == "staging":
         return run_checks(wh, source_checks() + staging_checks())
-    results = run_checks(wh, mart_checks())
+    checks = mart_checks()
+    wh, narrow = _shared(wh, checks, [("fact_sales", "net_amount"), ("fact_sales", "dbt_loaded_at")])
+    results = _run_over(wh, narrow, checks)
+    sales = wh.above(frames={"fact_sales": narrow["fact_sales"]} if "fact_sales" in narrow else {})
     return union_all(
         [
             results,
-            _single("marts", "fact_sales", "net_amount", "revenue_reconcile", revenue_reconcile(wh)),
-            _single("marts", "fact_sales", "dbt_loaded_at", "freshness", sales_freshness(wh, now)),
+            _single("marts", "fact_sales", "net_amount", "revenue_reconcile", revenue_reconcile(sales)),
+            _single("marts", "fact_sales", "dbt_loaded_at", "freshness", sales_freshness(sales, now)),
         ]
     )
 
@@ -308,8 +378,9 @@ def run_gates(
     tolerance: int = 0,
 ) -> None:
     """Fail fast: landing counts, then staging, then marts; the first failed gate raises."""
+    wh = sorted_out(wh)
     if sources is not None:
-        counts = reconcile_landing(sources, wh.raw, tolerance=tolerance)
+        counts = reconcile_landing(sources, wh.raw, tolerance=tolerance, newest=wh.newest)
         missing = counts.filter(F.col("status") == "FAIL").select(
             F.col("tenant_id").alias("model"),
             F.col("table_name").alias("column"),

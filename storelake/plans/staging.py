@@ -17,6 +17,8 @@ _LOOKUPS = {"products", "stores", "employees"}
 
 
 def _current(wh: Warehouse, table: str) -> DataFrame:
+    if table in wh.newest:
+        return wh.newest[table]
     if isinstance(wh.raw, Bases) and table not in _LOOKUPS:
         return wh.raw.current(table)
     return current_rows(wh.raw[table], spec_of(table), declare_unique=table in _LOOKUPS)

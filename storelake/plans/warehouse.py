@@ -44,6 +44,9 @@ class Warehouse:
         self.loaded_at = loaded_at
         self._built: dict[str, DataFrame] = {}
         self.stored: dict[str, DataFrame] = {}
+        # Newest rows of raw tables, where they are stored (see ``above``).
+        self.newest: dict[str, DataFrame] = {}
+        self._given: dict[str, DataFrame] = {}
         self._uses: dict[str, set[str]] = {}
         self._open: list[str] = []
 
@@ -86,9 +89,31 @@ class Warehouse:
         other = Warehouse(self.raw, self.loaded_at)
         other._uses = {k: set(v) for k, v in self._uses.items()}
         other.stored = {k: v for k, v in self.stored.items() if k != name and name not in self._uses.get(k, ())}
+        other._given = {name: df}
         other._built = {**other.stored, name: df}
+        other.newest = dict(self.newest)
         return other
 
+    def above(self, newest: Mapping[str, DataFrame] | None = None, frames: Mapping[str, DataFrame] | None = None) -> Warehouse:
+        """Another warehouse that takes the newest rows of some raw tables, and some models, from
+        given frames.  What is stored or substituted here is carried on, the rest is composed anew."""
+        other = Warehouse(self.raw, self.loaded_at)
+        other._uses = {k: set(v) for k, v in self._uses.items()}
+        other.newest = {**self.newest, **(newest or {})}
+        other.stored = {**self.stored, **(frames or {})}
+        other._given = dict(self._given)
+        other._built = {**other._given, **other.stored}
+        return other
+
+    def has(self, name: str) -> bool:
+        """Whether a model is stored or substituted, not composed."""
+        return name in self.stored or name in self._given
+
+    def uses(self, name: str) -> set[str]:
+        """The models a model is composed of, itself included."""
+        self[name]
+        return {name} | (set() if self.has(name) else self._uses.get(name, set()))
+
     def materialize(
         self,
         path: str,

@@ -173,3 +173,68 @@ def test_reconciliation_reports_pairs_without_rows(spark):
         ("a", "suppliers", 0, 0, "OK"),
         ("b", "suppliers", 0, 0, "OK"),
     ]
+
+
+def versioned_shop(spark):
+    """Two versions of a sale, of a line and of a stock row, faults in the newer ones, null keys."""
+    later = dict(updated_at=ts("2024-02-01T00:00:00"))
+    return good_shop(
+        spark,
+        customers=[dict(customer_id=1, name="A", gender="Robot"), dict(customer_id=None, name="B")],
+        transactions=[sale(1, status="pending"), sale(1, customer=55, store=None, **later), sale(2), sale(3, status="cancelled")],
+        transaction_items=[line(1, 1), line(1, 1, product=77, **later), line(2, 2, qty=None), line(3, 3), line(None, 2)],
+        inventory=[dict(inventory_id=1, product_id=1, store_id=1), dict(inventory_id=1, product_id=8, store_id=1, stock_qty=None, **later)],
+    )
+
+
+def planned(monkeypatch):
+    """How often what is stored, and a result, choose versions of the keys of each of these tables."""
+    plans, written = [], quality.written
+    plan_of = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+
+    def recorded(df, purpose):
+        plans.append(plan_of(df))
+        return written(df, purpose)
+
+    monkeypatch.setattr(quality, "written", recorded)
+    keys = [quality.spec_of(t).key for t in ("transactions", "transaction_items", "inventory")]
+    count = lambda plan, key: plan.count(f"row_number() windowspecdefinition({key}#")
+    return lambda *results: [sum(count(p, k) for p in [*plans, *map(plan_of, results)]) for k in keys]
+
+
+def test_stored_newest_rows_change_no_result(spark):
+    for checked in (quality.all_checks(), quality.checked("unique"), quality.checked("relationships")):
+        stored = quality.run_checks(versioned_shop(spark), checked)
+        assert sorted(rows(stored)) == sorted(rows(quality.run_checks(versioned_shop(spark), checked, store=False)))
+    found = failures(quality.run_checks(versioned_shop(spark), quality.all_checks()))
+    assert found[("fact_sales", "customer_sk", "relationships:dim_customer")] == (1, "fail")
+    assert found[("stg_inventory", "product_sk", "relationships:stg_products")] == (1, "warn")
+
+
+def test_checks_choose_versions_of_a_large_table_once(spark, monkeypatch):
+    times = planned(monkeypatch)
+    wh = versioned_shop(spark)
+    assert times(quality.run_checks(wh, quality.staging_checks() + quality.mart_checks())) == [1, 1, 1]
+    assert not wh.newest and not wh.stored
+
+
+def test_a_parent_may_repeat_its_keys(spark):
+    child = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    parent = spark.createDataFrame([("a",), ("a",), (None,), ("c",)], "p string")
+    orphans = checks.orphan_keys(child, "k", parent, "p")
+    assert rows(orphans) == [("b", 2)] and orphans.columns == ["k", "rows"]
+    assert rows(checks.orphan_keys(child.limit(0), "k", parent, "p")) == []
+
+
+def test_columns_that_were_not_stored_cannot_be_read(spark):
+    wh = quality.sorted_out(good_shop(spark))
+    assert wh["stg_transaction_items"].select("quantity").count() == 1
+    with pytest.raises(Exception, match="transaction_items.unit_price is not among"):
+        wh["stg_transaction_items"].select("unit_price").collect()
+
+
+def test_substituted_models_are_checked(spark):
+    wh = good_shop(spark)
+    bad = wh["stg_transactions"].withColumn("payment_method", F.lit("barter"))
+    found = failures(quality.run_checks(wh.replace("stg_transactions", bad), quality.staging_checks() + quality.mart_checks()))
+    assert found == {("stg_transactions", "payment_method", "accepted_values"): (1, "fail")}
