@@ -93,8 +93,11 @@ def dq_freshness(wh: Warehouse) -> DataFrame:
 
 
 def dq_gate(wh: Warehouse) -> DataFrame:
-    """State of every gate: landing counts, staging, marts."""
-    landing = quality.reconcile_landing(_source_rows(wh.raw), wh.raw, tenants=TENANTS).select(
+    """State of every gate: landing counts, staging, marts, over newest rows that are sorted out once."""
+    dated, now = _dated(wh)
+    dated = quality.sorted_out(dated)
+    counts = quality.reconcile_landing(_source_rows(wh.raw), wh.raw, tenants=TENANTS, newest=dated.newest)
+    landing = counts.select(
         F.lit("raw").alias("layer"),
         F.col("table_name").alias("model"),
         F.col("tenant_id").alias("column"),
@@ -106,7 +109,6 @@ def dq_gate(wh: Warehouse) -> DataFrame:
         .otherwise("pass")
         .alias("status"),
     )
-    dated, now = _dated(wh)
     results = union_all(
         [landing, *[quality.layer_results(dated, layer, now) for layer in quality.GATES]]
     )

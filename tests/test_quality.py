@@ -238,3 +238,12 @@ def test_substituted_models_are_checked(spark):
     bad = wh["stg_transactions"].withColumn("payment_method", F.lit("barter"))
     found = failures(quality.run_checks(wh.replace("stg_transactions", bad), quality.staging_checks() + quality.mart_checks()))
     assert found == {("stg_transactions", "payment_method", "accepted_values"): (1, "fail")}
+
+
+def test_gates_share_the_newest_rows(spark, monkeypatch):
+    times = planned(monkeypatch)
+    wh = quality.sorted_out(versioned_shop(spark))
+    landing = quality.reconcile_landing(wh.raw, wh.raw, newest=wh.newest)
+    results = [quality.layer_results(wh, layer, F.lit(NOW)) for layer in quality.GATES]
+    assert times(landing, *results) == [1, 1, 1]
+    assert {r.table_name: r.landed_rows for r in landing.collect()}["transaction_items"] == 4
