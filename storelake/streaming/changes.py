@@ -23,7 +23,7 @@ def file_changes(
     )
 
 
-def ingest_available(changes: DataFrame, zone: LandingZone, name: str, checkpoint: str) -> None:
+def ingest_available(changes: DataFrame, zone: LandingZone, name: str, checkpoint: str, mode: str = "append") -> None:
     """Land everything that has arrived since the last run, then stop.
 
     Each micro-batch is one generation of the table, which also says that the batch is in: a
@@ -37,6 +37,7 @@ def ingest_available(changes: DataFrame, zone: LandingZone, name: str, checkpoin
 
     query = (
         changes.writeStream.foreachBatch(land)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,18 +1,17 @@
 """Keyed upsert streams: a state per key lets only versions through that are newer than all before.
 
-The state of a key is its newest version's stamp and tie-break columns, never the row, kept in the
-session's state store on disk and in the checkpoint.  Late and repeated versions stop here, so a
-landing table fed by this stream holds few versions per key.  The state grows with the keys, a few dozen bytes each; use it for
-tables whose keys come back, and the stateless stream of ``changes`` for others."""
+The state is a streaming aggregation: the newest row of each key, with its version's rank and the batch it
+came in, kept in the session's state store on disk and in the checkpoint.  Rows collapse to one per key
+where they are read, and the state is read and written by the JVM, without a call per key.  Late and
+repeated versions stop here, so a landing table fed by this stream holds few versions per key.  The state
+grows with the keys, a row each; use it for tables whose keys come back, and the stateless stream of
+``changes`` for others."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from storelake.sources.catalog import TENANT, TableSpec
 from storelake.sources.landing import LandingZone
@@ -22,55 +21,27 @@ STORE = "spark.sql.streaming.stateStore.providerClass"
 ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class NewestVersion(StatefulProcessor):
-    """Emits a key's newest row of a micro-batch if it is newer than the stored version."""
-
-    def __init__(self, order: list[str], kept: T.StructType):
-        self.order, self.kept = order, kept
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState("newest", self.kept)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        best, rank = None, None
-        for row in rows:  # one row is held, however many versions come in
-            mine = tuple(row[c] for c in self.order)
-            if rank is None or mine > rank:
-                best, rank = row, mine
-        stored = self.newest.get()
-        if best is not None and (stored is None or rank > tuple(stored)):
-            self.newest.update(rank)
-            yield best
-
-    def close(self) -> None:
-        pass
-
-
-def _ranks(field: T.StructField) -> tuple[Column, Column]:
-    """A value's rank without nulls, which are older than anything.  Times are numbers: in Python
-    their zones would depend on where they come from."""
-    column, kind = F.col(field.name), field.dataType
-    if isinstance(kind, T.TimestampType):
-        column, kind = F.unix_micros(column), T.LongType()
-    elif isinstance(kind, T.DateType):
-        column, kind = F.unix_date(column), T.IntegerType()
-    empty = F.lit("") if isinstance(kind, T.StringType) else F.lit(0).cast(kind)
-    return column.isNotNull(), F.coalesce(column, empty)
+def _ranks(column: str) -> tuple[Column, Column]:
+    """A value's rank: nulls are older than anything."""
+    return F.col(column).isNotNull(), F.col(column)
 
 
 def newest_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """The rows of a change stream that were their key's newest version when they came.
+    """The rows of a change stream that were their key's newest version when they came; to be written
+    in update mode.
 
     Equal stamps are settled by the table's tie-break columns; a repeat of the stored version is
     not newer.  Columns are the tenant and the table's own."""
-    rows = changes.select(TENANT, *spec.column_names)
-    order = [r for c in (spec.version, *spec.tie_break) for r in _ranks(rows.schema[c])]
-    ranks = {f"_rank{i}": column for i, column in enumerate(order)}
-    ranked = rows.withColumns(ranks)
-    kept = T.StructType([T.StructField(name, ranked.schema[name].dataType) for name in ranks])
-    processor = NewestVersion(list(ranks), kept)
-    newer = ranked.groupBy(TENANT, spec.key).transformWithState(processor, ranked.schema, "Append", "None")
-    return newer.drop(*ranks)
+    own = [c for c in spec.column_names if c != spec.key]
+    # The same for all rows of a micro-batch, also when it is replayed, and later in the next one.
+    batch = F.unix_millis(F.current_timestamp())
+    rows = changes.select(TENANT, *spec.column_names).withColumn("_batch", batch)
+    order = [r for c in (spec.version, *spec.tie_break) for r in _ranks(c)]
+    # Of equal versions the one that came first stays.
+    newest = F.max_by(F.struct("_batch", *own), F.struct(*order, -F.col("_batch")))
+    newer = rows.groupBy(TENANT, spec.key).agg(newest.alias("newest")).filter(F.col("newest._batch") == batch)
+    value = {c: F.col(f"newest.{c}") for c in own}
+    return newer.select(TENANT, *[value[c].alias(c) if c in value else c for c in spec.column_names])
 
 
 def upsert_available(changes: DataFrame, zone: LandingZone, name: str, checkpoint: str) -> None:
@@ -82,6 +53,6 @@ def upsert_available(changes: DataFrame, zone: LandingZone, name: str, checkpoin
     before = conf.get(STORE, None)
     conf.set(STORE, ON_DISK)
     try:
-        ingest_available(newest_changes(changes, zone.spec(name)), zone, name, checkpoint)
+        ingest_available(newest_changes(changes, zone.spec(name)), zone, name, checkpoint, "update")
     finally:
         conf.set(STORE, before) if before else conf.unset(STORE)

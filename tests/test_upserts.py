@@ -6,7 +6,7 @@ from shop import rows, ts
 from storelake.sources.catalog import TableSpec, columns_of
 from storelake.sources.landing import LandingZone
 from storelake.streaming.changes import file_changes, streamed
-from storelake.streaming.upserts import STORE, upsert_available
+from storelake.streaming.upserts import STORE, newest_changes, upsert_available
 
 SPEC = TableSpec("notes", "id", columns_of("id long, updated_at timestamp?, note string?"), tie_break=("note",))
 LAYOUT = "tenant_id string, id long, updated_at timestamp, note string"
@@ -50,3 +50,19 @@ def test_only_newer_versions_land_and_the_state_survives_restarts(spark, zone, t
         [("a", 1, "n"), ("a", 3, "s"), ("b", 1, None), ("c", 9, None)], key=repr
     )
     assert spark.conf.get(STORE, None) == before
+
+
+def test_no_row_or_key_passes_through_python(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write(spark, source, ("a", 1, "2024-01-02", "m"))
+    plan = newest_changes(changes(spark, source), SPEC)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan and "Python" not in plan
+
+
+def test_one_batch_lands_one_row_a_key(spark, zone, tmp_path):
+    source = str(tmp_path / "in")
+    # Repeats of the newest version, and null stamps and notes.
+    write(spark, source, *[("a", 1, "2024-01-02", "m")] * 3, ("a", 1, "2024-01-02", None), ("a", 1, None, "z"))
+    write(spark, source, ("b", 2, None, None), ("b", 2, None, None), ("a", 2, "2024-01-01", None))
+    upsert_available(changes(spark, source), zone, "notes", str(tmp_path / "state"))
+    assert landed(zone) == sorted([("a", 1, "m"), ("b", 2, None), ("a", 2, None)], key=repr)
