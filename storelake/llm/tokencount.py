@@ -199,10 +199,17 @@ class PrefixCounter:
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
         self.filled = np.concatenate([self.filled, np.array(tables, np.int32)])
 
+    def places(self, parts: list[str]) -> np.ndarray:
+        """Where the tables of filled parts are."""
+        return np.fromiter(map(self.rows.__getitem__, parts), np.int64, len(parts))
+
     def every_prefix(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sizes and tokens of a text's filled parts, and the tokens of every prefix of the text, the
         empty one first (in the place of the blank the library adds)."""
-        at = np.fromiter(map(self.rows.__getitem__, parts), np.int64, len(parts))
+        return self.every_prefix_at(self.places(parts))
+
+    def every_prefix_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``every_prefix``, by the places of the parts."""
         sizes, starts = self.sizes[at], self.starts[at]
         tokens = self.filled[starts + sizes - 1]
         inside = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
@@ -288,11 +295,16 @@ def _stored(model_file: str, limit: int):
         counter = _counter(model_file)
         for group in _grouped(batches):
             parts = [[counter.parts(t) if t else [] for t in batch["text"].to_pylist()] for batch in group]
-            counter.fill([p for texts in parts for own in texts for p in own])
+            # A part is hashed once a group, in Arrow; its tables are looked up by number.
+            flat = pa.array((p for texts in parts for own in texts for p in own), pa.large_string()).dictionary_encode()
+            distinct = flat.dictionary.to_pylist()
+            counter.fill(distinct)
+            places, start = counter.places(distinct)[flat.indices.to_numpy()], 0
             for batch, texts in zip(group, parts):
                 n_tokens, fitting, lists = [], [], {name: [] for name in (*PARTS, STEPS)}
                 for own in texts:
-                    sizes, tokens, counts = counter.every_prefix(own)
+                    sizes, tokens, counts = counter.every_prefix_at(places[start : start + len(own)])
+                    start += len(own)
                     n_tokens.append(int(counts[-1]) if own else 0)
                     # Counts may fall, so the last prefix within the limit is looked for.
                     fits = not own or counts[-1] <= limit

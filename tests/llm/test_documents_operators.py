@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -319,6 +320,20 @@ def test_full_caches_do_not_change_counts(monkeypatch):
         assert counts.tolist() == [len(counter.model.encode(text[:i])) for i in range(len(text) + 1)]
 
 
+def test_a_part_is_looked_up_once_a_group(monkeypatch):
+    looked, places = [], tokencount.PrefixCounter.places
+    monkeypatch.setattr(tokencount.PrefixCounter, "places", lambda self, parts: looked.append(parts) or places(self, parts))
+    texts = [["one two two", None, ""], ["", "two one\ntwo one"], ["x"]]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": range(len(t)), "text": pa.array(t, pa.string())}) for t in texts]
+    out = list(tokencount._stored(MODEL, 4)(iter(batches)))
+    assert len(looked) == 1 and len(looked[0]) == len(set(looked[0]))
+    model = tokencount.PrefixCounter(MODEL).model
+    for batch, own in zip(out, texts, strict=True):
+        assert batch["n_tokens"].to_pylist() == [len(model.encode(t or "")) for t in own]
+        counts = [[len(model.encode((t or "")[:i])) for i in range(len(t or "") + 1)] for t in own]
+        assert [np.cumsum([0, *steps]).tolist() for steps in batch["prefix_steps"].to_pylist()] == counts
+
+
 def test_budgets_at_cuts_come_from_stored_counts(llm):
     rows = odd_rows() + [(100 + i, t, None, None, None) for i, t in enumerate(odd_texts(random.Random(14), 60))]
     stored = tokencount.token_counts(documents(llm, rows), MODEL, stored=True)
