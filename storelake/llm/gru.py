@@ -13,6 +13,7 @@ backpropagation through time), and every window takes a gradient step.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +23,30 @@ WINDOW = 16
 STREAMS = 256
 SCORE_STEPS = 128  # a multiple of WINDOW
 HIDDEN = 8
+LIMIT = 80.0  # logits beyond are clipped
 SLICE = 1024  # tokens whose class scores stay in the processor's cache
+PIECE = 1 << 14  # parameters updated at once
 NAMES = ("embed", "cell", "classes", "class_bias", "words", "word_bias", "first")
 
 
+class Room:
+    """Arrays that every window fills anew; fresh ones would be memory to fetch from the system each time."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, kind: np.dtype, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        flat = self.held.get(name)
+        if flat is None or len(flat) < size or flat.dtype != kind:
+            flat = self.held[name] = np.empty(size, kind)
+        return flat[:size].reshape(shape)
+
+
 class Gru:
     def __init__(self, parts: dict[str, np.ndarray], n_words: int):
         self.p = parts
+        self.room = Room()
         self.n_words = n_words
         self.n_blocks = n_words // BLOCK
 
@@ -61,101 +79,154 @@ class Gru:
     def class_of(self, ids: np.ndarray) -> np.ndarray:
         return np.where(ids < self.n_words, ids // BLOCK, self.n_blocks + ids - self.n_words)
 
-    def _states(self, given: np.ndarray, h: np.ndarray, tape: list | None):
+    def _states(self, given: np.ndarray, h: np.ndarray, tape: dict | None):
         """States (step, hidden, stream) before each token of a window; ``given``: the tokens
-        before them, -1 at a text's start.  Streams are the last axis, so gates are whole rows."""
-        size = self.hidden
-        cell = np.ascontiguousarray(self.p["cell"].T)
-        inputs = self.p["embed"][given]
+        before them, -1 at a text's start.  Streams are the last axis, so gates are whole rows.
+        ``tape`` gets what the way back needs."""
+        size, room = self.hidden, self.room
+        steps, streams = given.shape
+        cell = self.p["cell"].T.copy()
+        inputs = self.p["embed"].take(given, axis=0)
         starts = given < 0
         inputs[starts] = self.p["first"]
         inputs = np.ascontiguousarray(inputs.transpose(0, 2, 1))
-        resets = starts.any(axis=1)
+        # A gate is 1 / (1 + exp(-x)); the signs are turned once for the window.
+        inputs[:, : 2 * size] *= -1
+        cell[: 2 * size] *= -1
+        resets = starts.any(axis=1).tolist()
         keep = (~starts).astype(np.float32)
-        states = np.empty((len(given), size, h.shape[1]), np.float32)
-        for t in range(len(given)):
-            if resets[t]:
-                h = h * keep[t]
-            x, back = inputs[t], cell @ h
-            gates = x[: 2 * size] + back[: 2 * size]
-            gates *= 0.5
-            np.tanh(gates, out=gates)
-            gates += 1
-            gates *= 0.5
-            z, r = gates[:size], gates[size:]
-            n = r * back[2 * size :]
-            n += x[2 * size :]
-            np.tanh(n, out=n)
-            new = h - n
-            new *= z
-            new += n
-            if tape is not None:
-                tape.append((h, z, r, n, back[2 * size :]))
-            h = states[t] = new
-        return states, h
+        kind = np.result_type(cell, h)
+        states = room("states", kind, steps + 1, size, streams)
+        states[0] = h
+        held = 1 if tape is None else steps
+        backs = room("backs", kind, held, 3 * size, streams)
+        gates = room("gates", kind, held, 2 * size, streams)
+        inner = room("inner", kind, held, size, streams)
+        with np.errstate(over="ignore"):  # a gate that is shut
+            for t in range(steps):
+                h, new, x, at = states[t], states[t + 1], inputs[t], t % held
+                if resets[t]:
+                    h = h * keep[t]
+                back, gate, n = backs[at], gates[at], inner[at]
+                np.matmul(cell, h, out=back)
+                np.add(x[: 2 * size], back[: 2 * size], out=gate)
+                np.exp(gate, out=gate)
+                gate += 1
+                np.reciprocal(gate, out=gate)
+                np.multiply(gate[size:], back[2 * size :], out=n)
+                n += x[2 * size :]
+                np.tanh(n, out=n)
+                np.subtract(h, n, out=new)
+                new *= gate[:size]
+                new += n
+        if tape is not None:
+            before = states[:-1] * keep[:, None] if any(resets) else states[:-1]
+            tape.update(before=before, z=gates[:, :size], r=gates[:, size:], n=inner, back=backs[:, 2 * size :], resets=resets, keep=keep)
+        return states[1:], states[-1].copy()
 
     def _outputs(self, states: np.ndarray, ids: np.ndarray, grads: dict | None):
-        """Log-likelihood of each token from its state (hidden, tokens), and with ``grads`` the
-        gradient of the states (of the summed log-likelihood)."""
-        p = self.p
+        """Log-likelihood of each token from its state (tokens, hidden and a one for the bias), and
+        with ``grads`` the gradient of the states (of the summed log-likelihood).
+
+        Tokens are the first axis, so that products have long rows and whole blocks of tokens lie
+        together.  Gradients by the logits are kept unscaled; their few factors are scaled instead."""
+        p, size = self.p, self.hidden
         classes = self.class_of(ids)
+        upper = np.concatenate([p["classes"], p["class_bias"][None]])
+        lower = np.concatenate([p["words"], p["word_bias"][:, None]], axis=1)
+        # States are means of hyperbolic tangents, so weights well inside the limit say that no logit is clipped.
+        clip = not all(np.abs(w).sum(axis=-2).max(initial=0) < LIMIT / 2 for w in (upper, lower))
+        kind = np.result_type(states, upper)
         loglik = np.empty(len(ids))
-        back = None if grads is None else np.empty_like(states)
+        room = self.room
+        back = None if grads is None else room("back", kind, len(ids), size)
+        by_class, by_word = np.zeros((upper.shape[1], size + 1), kind), np.zeros((self.n_blocks, BLOCK, size + 1), kind)
+        logits = room("class logits", kind, SLICE, upper.shape[1])
         for start in range(0, len(ids), SLICE):
             at = slice(start, start + SLICE)
-            loglik[at], weight = _softmax(p["classes"].T @ states[:, at], p["class_bias"], classes[at])
+            weight = np.matmul(states[at], upper, out=logits[: len(ids) - start])
+            loglik[at], scale = _softmax(weight, classes[at], clip, grads is not None)
             if grads is not None:
-                grads["classes"] += states[:, at] @ weight.T
-                grads["class_bias"] += weight.sum(axis=1)
-                back[:, at] = p["classes"] @ weight
+                by_class += weight.T @ (states[at] * scale)
+                np.multiply(weight @ upper[:size].T, scale, out=back[at])
         sizes = np.bincount(classes[classes < self.n_blocks], minlength=self.n_blocks)
-        held = np.flatnonzero(sizes).tolist()
-        ends = np.cumsum(sizes)
-        spans = [slice(int(ends[c] - sizes[c]), int(ends[c])) for c in held]
-        # Tokens of one block side by side: a product per block, everything else for all blocks at once.
+        ends = np.cumsum(sizes).tolist()
+        # Tokens of one block side by side: a product per block, everything else for many blocks at once.
         order = np.argsort(np.minimum(classes, self.n_blocks).astype(np.int16), kind="stable")[: int(sizes.sum())]
-        near = states[:, order]
-        logits = np.empty((BLOCK, len(order)), np.result_type(states, p["words"]))
-        for c, span in zip(held, spans):
-            np.add(p["words"][c].T @ near[:, span], p["word_bias"][c][:, None], out=logits[:, span])
-        inner, weight = _softmax(logits, None, ids[order] % BLOCK)
-        loglik[order] += inner
-        if grads is not None and held:
-            into = np.empty_like(near)
-            for c, span in zip(held, spans):
-                part = weight[:, span]
-                grads["words"][c] += near[:, span] @ part.T
-                grads["word_bias"][c] += part.sum(axis=1)
-                into[:, span] = p["words"][c] @ part
-            back[:, order] += into
+        near, chosen = states.take(order, axis=0), ids[order] % BLOCK
+        into = room("into", kind, 0 if grads is None else len(order), size)
+        logits = room("word logits", kind, SLICE, BLOCK)
+        block = 0
+        for start in range(0, len(order), SLICE):
+            end = min(start + SLICE, len(order))
+            at, spans, begin = slice(start, end), [], start
+            while begin < end:
+                while ends[block] <= begin:
+                    block += 1
+                stop = min(ends[block], end)
+                spans.append((block, slice(begin, stop), logits[begin - start : stop - start]))
+                begin = stop
+            for c, span, weight in spans:
+                np.matmul(near[span], lower[c], out=weight)
+            inner, scale = _softmax(logits[: end - start], chosen[at], clip, grads is not None)
+            loglik[order[at]] += inner
+            if grads is not None:
+                scaled = near[at] * scale
+                for c, span, weight in spans:
+                    by_word[c] += weight.T @ scaled[span.start - start : span.stop - start]
+                    np.matmul(weight, lower[c, :size].T, out=into[span])
+                into[at] *= scale
+        if grads is not None:
+            back[order] += into
+            grads["classes"] += by_class[:, :size].T
+            grads["class_bias"] += by_class[:, size]
+            grads["words"] += by_word[:, :, :size].transpose(0, 2, 1)
+            grads["word_bias"] += by_word[:, :, size]
         return loglik, back
 
-    def _backward(self, given, tape, back, grads) -> None:
+    def _backward(self, given: np.ndarray, tape: dict, back: np.ndarray, grads: dict) -> None:
         size = self.hidden
         cell = self.p["cell"]
-        later = np.zeros((size, given.shape[1]), np.float32)
-        flow = np.empty((len(given), 3 * size, given.shape[1]), np.float32)
-        for t in range(len(given) - 1, -1, -1):
-            h, z, r, n, inner = tape[t]
-            d = later + back[t]
-            d_n = d * (1 - z) * (1 - n * n)
-            out = flow[t]
-            out[:size] = d * (h - n) * z * (1 - z)
-            out[size : 2 * size] = d_n * inner * r * (1 - r)
-            out[2 * size :] = d_n
-            through = out.copy()
-            through[2 * size :] *= r
-            grads["cell"] += h @ through.T
-            later = d * z + cell @ through
-            later *= given[t] >= 0
-        flat, ids = np.ascontiguousarray(flow.transpose(0, 2, 1)).reshape(-1, 3 * size), given.ravel()
-        order = np.argsort(ids, kind="stable")
-        ranked = ids[order]
-        first = np.nonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))[0]
-        sums = np.add.reduceat(flat[order], first, axis=0)
-        known = ranked[first] >= 0
-        grads["first"] += sums[~known].sum(axis=0)
-        grads["embed"][ranked[first][known]] += sums[known]
+        steps, streams = given.shape
+        room, f4 = self.room, np.dtype(np.float32)
+        z, r, n, inner, resets, keep = (tape[k] for k in ("z", "r", "n", "back", "resets", "keep"))
+        # What does not depend on later steps, for the whole window: factors of the update gate and of the candidate.
+        first, second, third = (room(k, z.dtype, steps, 2, size, streams) for k in ("first", "second", "third"))
+        np.subtract(tape["before"], n, out=first[:, 0])
+        np.subtract(1, z, out=first[:, 1])
+        second[:, 0] = z
+        np.multiply(n, n, out=second[:, 1])
+        np.subtract(1, second[:, 1], out=second[:, 1])
+        third[:, 0] = first[:, 1]
+        third[:, 1] = r
+        closed = 1 - r
+        later = np.zeros((size, streams), np.float32)
+        d = np.empty((size, streams), np.float32)
+        both = room("both", f4, steps, 2, size, streams)
+        through = room("through", f4, steps, 3, size, streams)
+        for t in range(steps - 1, -1, -1):
+            pair, out = both[t], through[t]
+            np.add(later, back[t], out=d)
+            np.multiply(d, first[t], out=pair)
+            pair *= second[t]
+            np.multiply(pair, third[t], out=out[::2])
+            reset = out[1]
+            np.multiply(pair[1], inner[t], out=reset)
+            reset *= r[t]
+            reset *= closed[t]
+            np.multiply(d, z[t], out=later)
+            later += cell @ out.reshape(3 * size, streams)
+            if resets[t]:
+                later *= keep[t]
+        grads["cell"] += (through.reshape(steps, 3 * size, streams) @ tape["before"].transpose(0, 2, 1)).sum(axis=0).T
+        through[:, 2] = both[:, 1]
+        # Sums of each token's row, a text's start being row 0.
+        width = 3 * size
+        cells = room("cells", np.dtype(np.intp), steps, width, streams)
+        np.add(((given + 1) * width)[:, None], np.arange(width)[:, None], out=cells)
+        sums = np.bincount(cells.ravel(), through.ravel(), (len(grads["embed"]) + 1) * width).reshape(-1, width)
+        grads["first"] += sums[0]
+        grads["embed"] += sums[1:]
 
     def _carried(self, h: np.ndarray | None, streams: int) -> np.ndarray:
         return np.zeros((self.hidden, streams), np.float32) if h is None else np.ascontiguousarray(h[:, :streams])
@@ -176,49 +247,56 @@ class Gru:
         """One pass over the texts; returns the tokens that took part in gradient steps."""
         used = 0
         h = None
-        cut = (tuple(x[i : i + WINDOW] for x in w) for w in _windows(texts, SCORE_STEPS) for i in range(0, len(w[0]), WINDOW))
-        for targets, given, _ in cut:
+        grads = {k: np.zeros_like(v) for k, v in self.p.items()}
+        cut = (tuple(x[i : i + WINDOW] for x in w[:2]) for w in _windows(texts, SCORE_STEPS, owners=False) for i in range(0, len(w[0]), WINDOW))
+        for targets, given in cut:
             # Streams that ended inside the larger window only hold padding from here on.
             running = max(1, int((targets[0] >= 0).sum()))
             targets, given = targets[:, :running], given[:, :running]
             h = self._carried(h, targets.shape[1])
-            grads = {k: np.zeros_like(v) for k, v in self.p.items()}
-            tape: list = []
+            for grad in grads.values():
+                grad.fill(0)
+            tape: dict = {}
             real = targets >= 0
             states, h = self._states(given, h, tape)
             _, into = self._outputs(_picked(states, real), targets[real], grads)
-            back = np.zeros((self.hidden, real.size), np.float32)
-            back[:, np.flatnonzero(real)] = into
-            back = back.reshape(self.hidden, *real.shape).transpose(1, 0, 2)
-            self._backward(given, tape, back, grads)
+            if not real.all():
+                spread = np.zeros((real.size, self.hidden), np.float32)
+                spread[np.flatnonzero(real)] = into
+                into = spread
+            self._backward(given, tape, np.ascontiguousarray(into.reshape(*real.shape, -1).transpose(0, 2, 1)), grads)
             adam.step(self.p, grads, int(real.sum()))
             used += int(real.sum())
         return used
 
 
 def _picked(states: np.ndarray, real: np.ndarray) -> np.ndarray:
-    """(hidden, tokens) of the real tokens, in the order of ``targets[real]``."""
-    flat = states.transpose(1, 0, 2).reshape(states.shape[1], -1)
-    return flat if real.all() else flat[:, np.flatnonzero(real)]
-
-
-def _softmax(logits: np.ndarray, bias: np.ndarray | None, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of the chosen row of each column, and its gradient by the logits."""
-    if bias is not None:
-        logits += bias[:, None]
-    np.clip(logits, -80, 80, out=logits)
-    columns = np.arange(logits.shape[1])
-    loglik = logits[chosen, columns].astype(np.float64)
+    """(tokens, hidden and a one) of the real tokens, in the order of ``targets[real]``."""
+    steps, size, streams = states.shape
+    flat = np.ones((steps, streams, size + 1), states.dtype)
+    flat[:, :, :size] = states.transpose(0, 2, 1)
+    flat = flat.reshape(-1, size + 1)
+    return flat if real.all() else flat.take(np.flatnonzero(real), axis=0)
+
+
+def _softmax(logits: np.ndarray, chosen: np.ndarray, clip: bool, gradient: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log probability of the chosen column of each row.  With ``gradient`` the logits become its
+    gradient, once multiplied by the returned column."""
+    if clip:
+        np.clip(logits, -LIMIT, LIMIT, out=logits)
+    flat, at = logits.reshape(-1), np.arange(0, logits.size, logits.shape[1]) + chosen
+    loglik = flat.take(at).astype(np.float64)
     np.exp(logits, out=logits)
-    total = logits.sum(axis=0)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
     loglik -= np.log(total)
-    logits /= -total
-    logits[chosen, columns] += 1
-    return loglik, logits
+    if not gradient:
+        return loglik, None
+    flat[at] -= total
+    return loglik, (-1 / total)[:, None]
 
 
-def _windows(texts: list[np.ndarray], steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(targets, tokens before them, text numbers) of windows (steps, streams); targets are -2 beyond a stream's end.
+def _windows(texts: list[np.ndarray], steps: int, owners: bool = True) -> Iterator[tuple[np.ndarray, ...]]:
+    """(targets, tokens before them, with ``owners`` text numbers) of windows (steps, streams); targets are -2 beyond a stream's end.
 
     Longest texts first, each to the stream that is shortest so far; streams end longest last,
     so the running ones are always the leading columns.
@@ -230,25 +308,31 @@ def _windows(texts: list[np.ndarray], steps: int) -> Iterator[tuple[np.ndarray,
         streams[at].append(i)
         heapq.heappush(heap, (length + len(texts[i]), at))
     lengths = {at: length for length, at in heap}
-    laid = []
-    for at in sorted(lengths, key=lambda s: -lengths[s]):
-        if lengths[at]:
-            targets = np.concatenate([texts[i] for i in streams[at]])
-            sizes = [len(texts[i]) for i in streams[at]]
-            given = np.concatenate([[-1], targets[:-1]])
-            given[np.cumsum(sizes)[:-1][np.array(sizes[1:]) > 0] if len(sizes) > 1 else []] = -1
-            laid.append((targets, given, np.repeat(streams[at], sizes)))
-    longest = len(laid[0][0]) if laid else 0
-    for start in range(0, longest, steps):
-        running = [x for x in laid if len(x[0]) > start]
-        window = np.zeros((3, len(running), steps), np.int64)
-        window[0] = -2
-        for row, parts in enumerate(running):
-            for kind, part in enumerate(parts):
-                piece = part[start : start + steps]
-                window[kind, row, : len(piece)] = piece
-        used = min(steps, longest - start)
-        yield window[0, :, :used].T, window[1, :, :used].T, window[2, :, :used].T
+    running = [at for at in sorted(lengths, key=lambda s: -lengths[s]) if lengths[at]]
+    if not running:
+        return
+    # All streams in one row, the longest first.
+    own = [i for at in running for i in streams[at]]
+    sizes = np.array([len(texts[i]) for i in own])
+    laid = np.concatenate([texts[i] for i in own])
+    before = np.concatenate([laid[:1], laid[:-1]])
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = -1
+    rows = [laid, before]
+    if owners:
+        rows.append(np.repeat(np.array(own, np.int32), sizes))
+    length = np.array([lengths[at] for at in running])
+    first = np.cumsum(length) - length
+    for start in range(0, int(length[0]), steps):
+        n = int((length > start).sum())
+        end = min(start + steps, int(length[0]))
+        step = np.arange(start, end)[:, None]
+        at = first[:n] + step
+        window = [x.take(at, mode="clip") for x in rows]
+        if length[n - 1] < end:
+            beyond = step >= length[:n]
+            for values, padding in zip(window, (-2, 0, 0)):
+                values[beyond] = padding
+        yield tuple(window)
 
 
 class Adam:
@@ -260,13 +344,29 @@ class Adam:
         self.square: dict[str, np.ndarray] = {}
 
     def step(self, parts: dict[str, np.ndarray], grads: dict[str, np.ndarray], tokens: int) -> None:
+        """Gradients are those of the sum over ``tokens``, and are used up."""
         self.steps += 1
         b1, b2 = 0.9, 0.99
-        rate = self.rate * min(1.0, tokens / self.full)
+        # Both moments are kept of gradients times (1 - b2) ** 0.5, the mean without its factor 1 - b1.
+        part, tokens = (1 - b2) ** 0.5, max(1, tokens)
+        root = (1 - b2**self.steps) ** 0.5
+        rate = self.rate * min(1.0, tokens / self.full) * root * (1 - b1) / part / (1 - b1**self.steps)
         for name, grad in grads.items():
-            grad /= max(1, tokens)
-            mean = self.mean.setdefault(name, np.zeros_like(grad))
-            square = self.square.setdefault(name, np.zeros_like(grad))
-            mean += (1 - b1) * (grad - mean)
-            square += (1 - b2) * (grad * grad - square)
-            parts[name] += rate * (mean / (1 - b1**self.steps)) / (np.sqrt(square / (1 - b2**self.steps)) + 1e-7)
+            if name not in self.mean:
+                self.mean[name], self.square[name] = np.zeros_like(grad), np.zeros_like(grad)
+            own, grad, mean, square = (x.reshape(-1) for x in (parts[name], grad, self.mean[name], self.square[name]))
+            # In pieces that stay in the processor's cache.
+            for start in range(0, len(grad), PIECE):
+                at = slice(start, start + PIECE)
+                m, s, g = mean[at], square[at], grad[at]
+                g *= part / tokens
+                m *= b1
+                m += g
+                g *= g
+                s *= b2
+                s += g
+                np.sqrt(s, out=g)
+                g += 1e-7 * root
+                np.divide(m, g, out=g)
+                g *= rate
+                own[at] += g

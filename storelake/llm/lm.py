@@ -29,6 +29,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ ROUNDS = 2
 RATE = 0.03
 SEED = 3
 GROUP_TOKENS = 1 << 20
+SCORE_TOKENS = 1 << 21
 FLUSH_WORDS = 400_000
 END = b""  # no word is empty, so the end token takes the empty text
 
@@ -100,17 +102,16 @@ class Vocabulary:
             self.group_tokens[group(w)] -= c
             self.group_words[group(w)] -= 1
         ids = [i if i < self.n_words else self.n_words + group(w) for i, (w, _) in enumerate(frequent)]
-        self.ids = np.array(ids, dtype=np.int64)
+        self.ids = np.array(ids, dtype=np.int32)
         self.log_count = np.log10(self.counts + 1.0)
         self.group_size = np.log10(self.group_tokens + self.group_words + 1.0)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        get = self.number.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int32, len(words))
 
     def model_ids(self, words: list[bytes], number: np.ndarray) -> np.ndarray:
         if not len(self.ids):
-            return np.fromiter((group(w) for w in words), np.int64, len(words))
+            return np.fromiter(map(group, words), np.int32, len(words))
         ids = self.ids[number]
         for i in np.flatnonzero(number < 0).tolist():
             ids[i] = self.n_words + group(words[i])
@@ -149,7 +150,7 @@ def _together(batches: Iterator[pa.RecordBatch], size: int = GROUP_TOKENS) -> It
     held, texts, n = [], [], 0
     for batch in batches:
         ids = batch["ids"]
-        ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.int64)
+        ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
         held.append(batch)
         texts += [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
         n += int(ends[-1] - ends[0])
@@ -204,7 +205,8 @@ _NUMBERED = (
 
 
 def _numbers(vocab: Vocabulary):
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+    def lists(sizes: list[int], values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -222,9 +224,12 @@ def _numbers(vocab: Vocabulary):
                 n_tokens.append(len(words))
                 n_known.append(len(known))
                 base.append(float(vocab.log_count[known].sum()))
-                ids.append(own.astype(np.int32))
-                others = Counter(words[i] for i in np.flatnonzero(~inside).tolist())
-                rare.append([{"word": w, "n": n} for w, n in others.items()])
+                ids.append(own)
+                rare.append(Counter(map(words.__getitem__, np.flatnonzero(~inside).tolist())))
+            others = [
+                pa.array([*chain.from_iterable(rare)], pa.binary()),
+                pa.array([*chain.from_iterable(x.values() for x in rare)], pa.int64()),
+            ]
             yield pa.RecordBatch.from_pydict(
                 {
                     "row": pa.array(np.arange(row, row + batch.num_rows)),
@@ -234,8 +239,8 @@ def _numbers(vocab: Vocabulary):
                     "n_known": pa.array(n_known, pa.int64()),
                     "base": pa.array(base, pa.float64()),
                     "share": pa.array(shares, pa.float64()),
-                    "ids": pa.array(ids, pa.list_(pa.int32())),
-                    "rare": pa.array(rare, kind),
+                    "ids": lists(n_tokens, pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))),
+                    "rare": lists([*map(len, rare)], pa.StructArray.from_arrays(others, ["word", "n"])),
                 }
             )
             row += batch.num_rows
@@ -248,7 +253,7 @@ _PARTIAL = "row long, doc_id {}, held_out boolean, n_tokens long, n_known long,
 
 def _scored(model: Gru):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held, texts in _together(batches):
+        for held, texts in _together(batches, SCORE_TOKENS):
             loglik = model.score(texts) / math.log(10)
             at = 0
             for batch in held:

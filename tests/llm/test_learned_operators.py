@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,54 @@ def test_probabilities_sum_to_one_and_state_is_carried():
     assert np.allclose(model.score(many_texts), [model.score([t])[0] for t in many_texts], atol=1e-3)
 
 
+def test_windows_fill_the_same_memory_and_leave_no_trace_in_it():
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 132, int(n)) for n in rng.integers(0, 300, 400)]
+    fresh = lambda: gru.Gru.start(np.arange(128.0, 0, -1), np.full(4, 9.0), 4)
+    used, new = fresh(), fresh()
+    used.train(texts, gru.Adam(lm.RATE))
+    held = {k: id(v) for k, v in used.room.held.items()}
+    assert {"states", "gates", "through", "class logits", "word logits"} <= held.keys()
+    used.p = {k: v.copy() for k, v in new.p.items()}
+    assert used.train(texts, gru.Adam(lm.RATE)) == new.train(texts, gru.Adam(lm.RATE))
+    assert {k: id(v) for k, v in used.room.held.items()} == held
+    assert all((used.p[k] == new.p[k]).all() for k in gru.NAMES)
+    few = texts[:3]
+    assert (used.score(few) == new.score(few)).all()
+
+
+@pytest.mark.parametrize("spread", [0.5, 60])  # with 60 logits pass the limit
+def test_outputs_equal_plain_softmax(spread):
+    rng = np.random.default_rng(9)
+    model = gru.Gru.start(np.arange(256.0, 0, -1), np.full(4, 9.0), 4, hidden=3)
+    model.p = {k: (v + rng.normal(0, spread, v.shape)).astype(np.float64) for k, v in model.p.items()}
+    n = 2 * gru.SLICE + 77
+    states, ids = rng.uniform(-1, 1, (1, 3, n)), np.where(rng.random(n) < 0.5, rng.integers(0, 3, n), rng.integers(0, 260, n))
+    grads = {k: np.zeros_like(v) for k, v in model.p.items()}
+    loglik, _ = model._outputs(gru._picked(states, np.ones((1, n), bool)), ids, grads)
+    p, clip = model.p, np.clip
+    plain, by_word = np.zeros(n), np.zeros_like(p["words"])
+    for i, word in enumerate(ids):
+        logits = clip(p["classes"].T @ states[0, :, i] + p["class_bias"], -gru.LIMIT, gru.LIMIT)
+        at = model.class_of(np.array(word))
+        plain[i] = logits[at] - np.log(np.exp(logits).sum())
+        if word < 256:
+            logits = clip(p["words"][at].T @ states[0, :, i] + p["word_bias"][at], -gru.LIMIT, gru.LIMIT)
+            plain[i] += logits[word % 64] - np.log(np.exp(logits).sum())
+            by_word[at] += np.outer(states[0, :, i], (np.arange(64) == word % 64) - np.exp(logits) / np.exp(logits).sum())
+    assert np.allclose(loglik, plain, atol=1e-6)
+    assert np.allclose(grads["words"], by_word, atol=1e-6)
+    assert (loglik == model._outputs(gru._picked(states, np.ones((1, n), bool)), ids, None)[0]).all()
+
+
+def test_model_numbers_are_read_where_they_lie():
+    ids = pa.array([[1, 2, 3], [], [4], [5, 6]], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_pydict({"ids": ids}).slice(1)
+    [(held, texts)] = lm._together(iter([batch]))
+    assert held == [batch] and [t.tolist() for t in texts] == [[], [4], [5, 6]]
+    assert all(np.shares_memory(t, ids.values.to_numpy()) for t in texts if len(t))
+
+
 def test_scores(llm, monkeypatch):
     monkeypatch.setattr(lm, "DICTIONARY", 300)
     rng = random.Random(4)
