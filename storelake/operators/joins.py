@@ -17,11 +17,12 @@ def attach(rows: DataFrame, lookup: DataFrame, entity: str, how: str = "left") -
     execution cut a hot key of the row side (NULL included) into several tasks.  The lookup is the
     small side, so its extra exchange is cheap, and below the broadcast limit none of this is
     planned at all.  A number serves, so that rows need not carry the text of a surrogate key
-    through the exchange and the sort.
+    through the exchange and the sort; as an expression of the condition it is not carried either.
 
     The id leads: sorts compare its 64-bit prefix.  Since ``(id, tenant)`` is known to be
     unique, a left join none of whose columns is used is dropped by the optimizer.
     """
-    third = (F.col(f"{entity}_id") % _THIRD).cast("int")
-    keys = [f"{entity}_id", "tenant_id", "_third"]
-    return rows.withColumn("_third", third).join(lookup.withColumn("_third", third), keys, how).drop("_third")
+    key = f"{entity}_id"
+    other = lookup.withColumnsRenamed({key: "_id", "tenant_id": "_tenant"})
+    same = (F.col(key) == F.col("_id")) & (F.col("tenant_id") == F.col("_tenant"))
+    return rows.join(other, same & (F.col(key) % _THIRD == F.col("_id") % _THIRD), how).drop("_id", "_tenant")

@@ -49,7 +49,7 @@ def _lines(wh: Warehouse) -> DataFrame:
 
 def _headers(wh: Warehouse) -> DataFrame:
     keys = [f"{entity}_sk" for entity in ("transaction", "customer", "store", "employee")]
-    return wh["stg_transactions"].drop("created_at", "updated_at", *keys)
+    return wh["stg_transactions"].drop("created_at", "updated_at", "date_key", *keys)
 
 
 def _key(entity: str, name: str | None = None) -> Column:
@@ -98,7 +98,7 @@ def int_sales_enriched(wh: Warehouse) -> DataFrame:
         "tenant_id",
         _key("transaction"),
         "transaction_id",
-        "date_key",
+        date_key("transaction_date").alias("date_key"),
         "transaction_date",
         _key("customer"),
         _key("store"),
@@ -294,7 +294,7 @@ def fact_sales(wh: Warehouse) -> DataFrame:
         "tenant_id",
         _key("transaction"),
         "transaction_id",
-        "date_key",
+        date_key("transaction_date").alias("date_key"),
         "transaction_date",
         _key("customer"),
         _key("store"),

@@ -4,11 +4,15 @@ A line's row in a fact depends on its transaction's header, lines and promotions
 store, clerk and cost.  So the transactions that changed rows touch, before or after the change, are
 recomputed as a whole through the ordinary models over raw tables cut down to them, and take the place of
 their rows in the stored fact.  The stored rows are not rewritten: the refreshed frame is the
-stored one without those transactions, and the recomputed ones, which are few and stored beside it.
+stored one without those transactions, and the recomputed ones, which are stored beside it when
+more than one reader is expected.
 
-Raw tables are cut down by semi-joins with the touched keys, before any version is chosen or any row
-moves; the keys are broadcast as long as they are below Spark's limit.  A line that moved between
-transactions keeps all its versions, so its newest one decides where it is.
+As long as the touched keys are below Spark's broadcast limit, raw tables are cut down by semi-joins
+with them, before any version is chosen or any row moves.  A line that moved between transactions
+keeps all its versions, so its newest one decides where it is.  Beyond the limit such a cut would
+itself move the raw lines, so the headers alone are cut, and the lines meet them in the join that
+the fact has anyway.  Stored rows are then found by the untouched keys if those are below the limit;
+else they move, with ids instead of surrogate keys.
 
 ``changes``: the raw rows that landed since the stored facts were built, any versions, by table
 (``LandingZone.since``); tables without changes may be left out.
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 
 from storelake.functions import surrogate_key
 from storelake.plans.warehouse import Warehouse
-from storelake.session import written
+from storelake.session import sized, written
 from storelake.sources.catalog import TENANT, spec_of
 
 TRANSACTION = [TENANT, "transaction_id"]
@@ -34,6 +38,8 @@ OF_TRANSACTIONS = ("transactions", "transaction_items", "transaction_promotions"
 NAMED_BY = {"products": "product_sk", "product_supplier": "product_sk", "stores": "store_sk", "employees": "employee_sk"}
 # Columns of the line fact that a refresh of the stock fact reads.
 STOCK_LINES = (*PLACE, "sales_sk", "transaction_id", "employee_sk", "quantity")
+# Columns of the promotion fact that any refresh reads.
+PROMOTION_USES = ("txn_promo_sk", *TRANSACTION)
 KEY_COLUMN = {"product_sk": "product_id", "store_sk": "store_id", "employee_sk": "employee_id"}
 
 
@@ -41,27 +47,49 @@ def _together(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _keys_of(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c.endswith("_sk")]
+
+
+def _with_ids(rows: DataFrame) -> DataFrame:
+    """Rows of a line fact with the number each surrogate key holds after its tenant, to move them."""
+    start = F.length(TENANT) + 2
+    return rows.withColumns({key: F.substring(key, start, F.length(key)).cast("long") for key in _keys_of(rows)})
+
+
+def _with_keys(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({key: surrogate_key(TENANT, key) for key in _keys_of(rows)})
+
+
 class Refresh:
     """Facts as a full rebuild over ``raw`` would give them, from the stored ones and the changes."""
 
-    def __init__(self, stored: Warehouse, raw: Mapping[str, DataFrame], changes: Mapping[str, DataFrame], lines: str = "int_sales_enriched"):
-        """``lines``: the stored line fact that tells which transactions rows belong to."""
+    def __init__(
+        self,
+        stored: Warehouse,
+        raw: Mapping[str, DataFrame],
+        changes: Mapping[str, DataFrame],
+        lines: str = "int_sales_enriched",
+        read_once: bool = False,
+    ):
+        """``lines``: the stored line fact that tells which transactions rows belong to.
+        ``read_once``: a refreshed line fact has one reader, so its recomputed rows are not stored."""
         self.stored = stored
         self.lines = lines
+        self.read_once = read_once
         self._recomputed: dict[str, DataFrame] = {}
         self.raw = raw
         self.changes = {name: df for name, df in changes.items() if name in raw}
 
     def _named(self, table: str, key: str, column: str) -> DataFrame | None:
-        """Surrogate keys of the changed rows of a table."""
+        """Surrogate keys of the changed rows of a table; they may repeat."""
         if table not in self.changes:
             return None
         # Stored, so its size is known: rows of a fact move only for a large change set.
-        return written(self.changes[table].select(surrogate_key(TENANT, column).alias(key)).distinct(), "named")
+        return written(self.changes[table].select(TENANT, column), "named").select(surrogate_key(TENANT, column).alias(key))
 
     @cached_property
-    def touched(self) -> DataFrame:
-        """(tenant_id, transaction_id) of the transactions to recompute."""
+    def _touched(self) -> tuple[DataFrame, bool]:
         lines = self.stored[self.lines]
         found = [self.changes[t].select(*TRANSACTION) for t in OF_TRANSACTIONS if t in self.changes]
         named = [("transaction_items", "sales_sk", "item_id"), *[(t, key, KEY_COLUMN[key]) for t, key in NAMED_BY.items()]]
@@ -73,34 +101,53 @@ class Refresh:
         if uses is not None:
             found.append(self.stored["fact_promotion_usage"].join(uses, "txn_promo_sk", "left_semi").select(*TRANSACTION))
         if not found:
-            return lines.select(*TRANSACTION).limit(0)
-        return written(_together(found).distinct(), "touched")
+            return lines.select(*TRANSACTION).limit(0), True
+        return sized(_together(found).distinct(), "touched")
+
+    @property
+    def touched(self) -> DataFrame:
+        """(tenant_id, transaction_id) of the transactions to recompute."""
+        return self._touched[0]
 
     @cached_property
     def part(self) -> Warehouse:
         """The models over the touched transactions only."""
-        cut = {}
-        for table in OF_TRANSACTIONS:
-            rows, key = self.raw[table], [TENANT, spec_of(table).key]
-            mine = rows.join(self.touched, TRANSACTION, "left_semi")
-            if table != "transactions":
-                # All versions of what ever was in a touched transaction.
-                mine = rows.join(mine.select(*key).distinct(), key, "left_semi")
-            cut[table] = mine
+        touched, small = self._touched
+        cut = {"transactions": self.raw["transactions"].join(touched, TRANSACTION, "left_semi")}
+        for table in OF_TRANSACTIONS[1:]:
+            # A row without its key is no version of anything, cut or not.
+            key = [TENANT, spec_of(table).key]
+            rows = cut[table] = self.raw[table].dropna(subset=key)
+            if not small:
+                continue
+            # All versions of what ever was in a touched transaction.
+            mine, few = sized(rows.join(touched, TRANSACTION, "left_semi").select(*key).distinct(), "mine")
+            if few:
+                cut[table] = rows.join(mine, key, "left_semi")
         return Warehouse({**dict(self.raw.items()), **cut}, self.stored.loaded_at)
 
     def recomputed(self, name: str) -> DataFrame:
         """A line fact of the touched transactions, with the columns that are stored of it."""
         if name not in self._recomputed:
-            # The part's lines may have gone to transactions that are not touched; those are not its business.
-            mine = self.part[name].join(self.touched, TRANSACTION, "left_semi")
-            self._recomputed[name] = written(mine.select(*self.stored[name].columns), f"part-{name}")
+            # The part's headers are the touched ones, so lines that went elsewhere find none.
+            mine = self.part[name].select(*self.stored[name].columns)
+            self._recomputed[name] = mine if self.read_once else written(mine, f"part-{name}")
         return self._recomputed[name]
 
     def _line_fact(self, name: str) -> DataFrame:
         stored = self.stored[name]
-        kept = stored.join(self.touched, TRANSACTION, "left_anti")
-        return kept.unionByName(self.recomputed(name)).select(*stored.columns)
+        return self._kept(stored).unionByName(self.recomputed(name)).select(*stored.columns)
+
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        """Stored lines of untouched transactions; they move only if neither those nor the touched ones are few."""
+        touched, small = self._touched
+        if small:
+            return rows.join(touched, TRANSACTION, "left_anti")
+        untouched = rows.select(*TRANSACTION).distinct().join(touched, TRANSACTION, "left_anti")
+        others, few = sized(untouched, "untouched")
+        if few:
+            return rows.join(others, TRANSACTION, "left_semi")
+        return _with_keys(_with_ids(rows).join(touched, TRANSACTION, "left_anti"))
 
     def int_sales_enriched(self) -> DataFrame:
         return self._line_fact("int_sales_enriched")

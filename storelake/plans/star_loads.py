@@ -11,7 +11,7 @@ from storelake.operators import differences, extract, loads
 from storelake.operators.checks import union_all
 from storelake.operators.versions import latest_version
 from storelake.plans.quality import on_grid, source_counts
-from storelake.plans.refresh import REFRESHED, STOCK_LINES, Refresh
+from storelake.plans.refresh import PROMOTION_USES, REFRESHED, STOCK_LINES, Refresh
 from storelake.plans.warehouse import Warehouse
 from storelake.session import scratch_path
 from storelake.sources.bases import Bases
@@ -211,12 +211,14 @@ def _refreshed(name: str):
         cut = F.lit("1998-01-01").cast("timestamp")
         before = Warehouse({t: df.filter(F.col("updated_at") < cut) for t, df in star.items()})
         lines = "fact_sales" if name == "fact_sales" else "int_sales_enriched"
+        # Of facts that are not refreshed themselves, only what a refresh reads is stored.
+        uses = before["fact_promotion_usage"].select(*PROMOTION_USES, "dbt_loaded_at")
         if name == "fact_inventory_movement":
-            # Of the lines, only what a refresh of the stock reads is stored.
             before.over({lines: before[lines].select(*STOCK_LINES, "dbt_loaded_at")})
+        before.over({"fact_promotion_usage": uses})
         before.materialize(scratch_path(star.spark, "before"), names={lines, "fact_promotion_usage", name})
         changes = {t: df.filter(F.col("updated_at") >= cut) for t, df in star.items()}
-        work = Refresh(before, star, changes, lines)
+        work = Refresh(before, star, changes, lines, read_once=name == lines)
         return getattr(work, name)().drop("dbt_loaded_at")
 
     query.__name__ = f"refresh_{name}"

@@ -24,11 +24,24 @@ REQUIRED = {
 }
 
 
+# Parquet bytes a map task reads at most: it unfolds and sorts them in memory.
+MAP_BYTES = 32 << 20
+
+
+def _bytes(spark: SparkSession, setting: str) -> int:
+    value = spark.conf.get(setting)
+    if value.lstrip("-").isdigit():
+        return int(value)
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(value)
+
+
 def apply_settings(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
     """``shuffle_partitions`` bounds what one task of an aggregation or a window holds: take
     the bytes of the largest shuffle over 200 MB.  Adaptive execution joins small ones again."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    if _bytes(spark, "spark.sql.files.maxPartitionBytes") > MAP_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(MAP_BYTES))
     if shuffle_partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
@@ -133,6 +146,12 @@ def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Cut the lineage: store ``df`` in the shared scratch folder and read it back."""
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return sized(df, purpose)[0]
+
+
+def sized(df: DataFrame, purpose: str) -> tuple[DataFrame, bool]:
+    """The same, and whether the stored rows are below Spark's broadcast limit."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(path)
+    small = size_of(spark, path) <= _bytes(spark, "spark.sql.autoBroadcastJoinThreshold")
+    return spark.read.schema(df.schema).parquet(path), small

@@ -3,6 +3,7 @@
 import pytest
 
 from shop import CATALOG, line, raw_table, rows, sale, ts
+from storelake.plans import refresh
 from storelake.plans.refresh import REFRESHED, Refresh, refreshed
 from storelake.plans.warehouse import Warehouse
 from storelake.sources.generations import Conflict
@@ -107,3 +108,60 @@ def test_a_fact_is_refreshed_without_the_others(spark, before):
     work = Refresh(own, after, changed, lines="fact_sales")
     assert content(work.fact_sales()) == content(Warehouse(after)["fact_sales"])
     assert set(work._recomputed) == {"fact_sales"}
+
+
+@pytest.fixture()
+def beyond_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def moved(spark, before, group, fact):
+    """Source tables after a change set, and a refresh of one fact from it."""
+    data = {t: items for name in GROUPS[group] for t, items in CHANGES[name].items()}
+    changed = {t: raw_table(spark, t, items) for t, items in data.items()}
+    after = {t: df.unionByName(changed[t]) if t in changed else df for t, df in raw_of(spark, BEFORE).items()}
+    return after, Refresh(before, after, changed, lines=fact, read_once=True)
+
+
+@pytest.mark.parametrize("fact", ["fact_sales", "int_sales_enriched"])
+def test_a_large_change_set_moves_lines_no_more_than_the_fact_does(spark, before, beyond_broadcast, fact):
+    after, work = moved(spark, before, 1, fact)
+    assert content(getattr(work, fact)()) == content(Warehouse(after)[fact])
+    # Lines are not cut by a join of their own: they move for their newest version, transaction and product.
+    assert work.part.raw["transaction_items"].count() == after["transaction_items"].count()
+    plan = work.recomputed(fact)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("LeftSemi") == 2, plan  # the headers, those before and the changed ones
+
+
+@pytest.mark.parametrize("fact, few", [("fact_sales", True), ("int_sales_enriched", False)])
+def test_stored_rows_of_a_large_change_set(spark, before, beyond_broadcast, monkeypatch, fact, few):
+    sized = refresh.sized
+    monkeypatch.setattr(refresh, "sized", lambda df, purpose: (sized(df, purpose)[0], few and purpose == "untouched"))
+    after, work = moved(spark, before, 0, fact)
+    assert content(getattr(work, fact)()) == content(Warehouse(after)[fact])
+
+
+def test_rows_without_a_key_are_left_out_whatever_the_size(spark, before, monkeypatch):
+    sent = raw_table(spark, "transaction_items", [dict(item_id=None, transaction_id=6, quantity=3), line(61, 6, qty=8, updated_at=LATER)])
+    after = {**raw_of(spark, BEFORE), "transaction_items": raw_of(spark, BEFORE)["transaction_items"].unionByName(sent)}
+    found = []
+    sized = refresh.sized
+    for small in (True, False):
+        monkeypatch.setattr(refresh, "sized", lambda df, purpose: (sized(df, purpose)[0], small))  # noqa: B023
+        work = Refresh(before, after, {"transaction_items": sent}, lines="fact_sales", read_once=True)
+        found.append(content(work.recomputed("fact_sales")))
+    assert found[0] == found[1] and len(found[0]) == 2
+
+
+def test_ids_stand_for_surrogate_keys(spark):
+    rows_ = [("t-1", "t-1-7", "t-1--3", None), ("x", "x-70", "x-0", "x-9")]
+    sent = spark.createDataFrame(rows_, "tenant_id string, sales_sk string, product_sk string, store_sk string")
+    ids = refresh._with_ids(sent)
+    assert rows(ids) == [("t-1", 7, -3, None), ("x", 70, 0, 9)]
+    assert rows(refresh._with_keys(ids)) == rows_
