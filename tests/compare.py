@@ -17,6 +17,8 @@ TABLES = [
     "orders",
     "lineitem",
     "events",
+    "documents",
+    "labels",
 ]
 
 
